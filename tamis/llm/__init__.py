@@ -1 +1 @@
-
+"""Operators for training text; nothing outside this package imports it."""
