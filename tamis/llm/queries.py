@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tamis.llm import bpe, packing
+from tamis.llm import bpe, language, packing
 from tamis.session import table
 
 
@@ -27,5 +27,15 @@ def p7_summary(spark, sf_dir):
     return _packed(spark, sf_dir)[1]
 
 
-QUERIES = {"p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
+def p5_found(spark, sf_dir):
+    """doc_id, lang of documents whose label is missing, wrong or not the only language."""
+    return language.relabelled(table(spark, sf_dir, "documents"))
+
+
+def p5_segments(spark, sf_dir):
+    """Language and confidence of every segment of every document."""
+    return language.language_segments(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
 SQL: dict[str, str] = {}
