@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tamis.llm import bpe, language, packing
+from tamis.llm import abuse, bpe, language, packing
 from tamis.session import table
 
 
@@ -37,5 +37,20 @@ def p5_segments(spark, sf_dir):
     return language.language_segments(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
+def p8_found(spark, sf_dir):
+    """doc_id, category of every category that a document contains."""
+    return abuse.found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_labels"))
+
+
+def p8_scores(spark, sf_dir):
+    """Score and flag of every document in every category."""
+    return abuse.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_labels"))
+
+
+def p8_source_rates(spark, sf_dir):
+    """Share of flagged documents of every source."""
+    return abuse.source_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_labels"))
+
+
+QUERIES = {"p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
 SQL: dict[str, str] = {}
