@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tamis.llm import abuse, bpe, language, packing
+from tamis.llm import abuse, bpe, language, mainbody, packing
 from tamis.session import table
 
 
@@ -52,5 +52,15 @@ def p8_source_rates(spark, sf_dir):
     return abuse.source_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "doc_labels"))
 
 
-QUERIES = {"p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
+def p2_found(spark, sf_dir):
+    """page_id, line_no of the lines of every page's main body."""
+    return mainbody.main_lines(table(spark, sf_dir, "captured_pages"))
+
+
+def p2_host_paths(spark, sf_dir):
+    """The container path that won on each host."""
+    return mainbody.host_paths(mainbody.page_containers(table(spark, sf_dir, "captured_pages")))
+
+
+QUERIES = {"p2_found": p2_found, "p2_host_paths": p2_host_paths, "p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
 SQL: dict[str, str] = {}
