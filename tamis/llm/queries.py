@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tamis.llm import abuse, bpe, language, mainbody, packing
+from tamis.llm import abuse, addresses, bpe, language, mainbody, packing
 from tamis.session import table
 
 
@@ -62,5 +62,15 @@ def p2_host_paths(spark, sf_dir):
     return mainbody.host_paths(mainbody.page_containers(table(spark, sf_dir, "captured_pages")))
 
 
-QUERIES = {"p2_found": p2_found, "p2_host_paths": p2_host_paths, "p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
+def p3_found(spark, sf_dir):
+    """store_id_a, store_id_b of all pairs of records of the same place."""
+    return addresses.same_place(table(spark, sf_dir, "store_locations"))
+
+
+def p3_places(spark, sf_dir):
+    """The place of every record that can be placed."""
+    return addresses.places(table(spark, sf_dir, "store_locations"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_places": p3_places, "p2_found": p2_found, "p2_host_paths": p2_host_paths, "p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
 SQL: dict[str, str] = {}
