@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F  # noqa: F401
 
-from tamis.llm import abuse, addresses, bpe, language, mainbody, packing
+from tamis.llm import abuse, addresses, bpe, language, mainbody, matching, packing
 from tamis.session import table
 
 
@@ -72,5 +72,15 @@ def p3_places(spark, sf_dir):
     return addresses.places(table(spark, sf_dir, "store_locations"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_places": p3_places, "p2_found": p2_found, "p2_host_paths": p2_host_paths, "p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
+def p4_found(spark, sf_dir):
+    """entity_id, directory_id of the records of one firm."""
+    return matching.found(table(spark, sf_dir, "entities"), table(spark, sf_dir, "roaster_directory"))
+
+
+def p4_confidence(spark, sf_dir):
+    """The confidence of every candidate pair."""
+    return matching.matched(table(spark, sf_dir, "entities"), table(spark, sf_dir, "roaster_directory"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_confidence": p4_confidence, "p3_found": p3_found, "p3_places": p3_places, "p2_found": p2_found, "p2_host_paths": p2_host_paths, "p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
 SQL: dict[str, str] = {}
