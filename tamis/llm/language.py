@@ -214,7 +214,7 @@ def _joint_bits(known: dict[str, list[str]], texts: list[str]) -> np.ndarray:
         table[i, np.searchsorted(keys, u)] += c
     table = np.log2(table)
     at = lambda k: np.where(keys[np.minimum(np.searchsorted(keys, k), len(keys) - 1)] == k, np.searchsorted(keys, k), len(keys))
-    total = np.array([sum(len(t) for t in known.get(x, [])) + 1.0 for x in LANGS])
+    total = np.array([c.sum() + 0.1 * (len(keys) + 1) for _, c in own])
     return np.array([(np.log2(total)[:, None] - table[:, at(key(grams(t)))]).sum(axis=1) for t in texts]).reshape(-1, len(LANGS))
 
 
