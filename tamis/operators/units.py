@@ -73,7 +73,7 @@ MENTION = rf"(?:^|[^a-z0-9.,/])({NUMBER_PATTERN})[ -]?({UNIT_PATTERN})(?:[^a-z]|
 
 #: What stands in titles and holds digits but no quantity: roast dates, lots, altitudes, prices, cups.
 NOISE = (
-    r"\(roast date[^)]*\)|otl [0-9]+/[0-9]+|(?:makes|~) ?[0-9]+ cups|[$€£¥₩] ?[0-9.,]+|^[0-9]+/[0-9]+ |"
+    r"\(roast date[^)]*\)|otl [0-9]+/[0-9]+|(?:makes|~) ?[0-9]+ cups|[$€£¥₩] ?[0-9.,]+|"
     r"(?:lot|batch|no\.|loring s|bc-|sl)\s*[0-9.]+|[0-9]{3,4} ?m(?:[^a-z0-9]|$)"
 )
 PACKS = r" x ?[0-9]|[0-9] ?x |[0-9]x[0-9]|×|[0-9][- ]?packs?(?:[^a-z]|$)|(?:bags|packs|pouches|packets|boxes|sachets|beutel|sachets) of |(?:set|box|pack|case|lot) of [0-9]|[^a-z]each(?:[^a-z]|$)"
