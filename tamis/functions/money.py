@@ -19,17 +19,13 @@ _WIDE = ("０１２３４５６７８９．，＄￥￦－　  ", "0123456789.,$
 def currency_of(text: Column, given: Column) -> tuple[Column, Column]:
     """(array of the currencies that text and field name, whether the field names none though it says something)."""
     words = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?i)(?:^|[^A-Za-z])([A-Z]{3})(?![A-Za-z])")), F.upper), lambda w: w.isin(*sorted(CODES)))
-    signs, rest = [], text
-    for sign, code in SIGNS.items():
-        signs.append(F.when(rest.contains(sign), F.lit(code)))
-        rest = F.replace(rest, F.lit(sign), F.lit(" "))
+    table = F.create_map(*[F.lit(x) for kv in SIGNS.items() for x in kv])
+    pattern = "(" + "|".join(x.replace("$", "\\$") for x in sorted(SIGNS, key=len, reverse=True)) + ")"
+    signs = F.transform(F.regexp_extract_all(text, F.lit(pattern)), lambda x: F.element_at(table, x))
     g = F.trim(given)
-    named = F.upper(g)
-    explicit = F.when(named.isin(*sorted(CODES)), named)
-    for sign, code in SIGNS.items():
-        explicit = F.when(g == sign, F.lit(code)).otherwise(explicit)
+    explicit = F.coalesce(F.when(F.upper(g).isin(*sorted(CODES)), F.upper(g)), F.try_element_at(table, g))
     bad = given.isNotNull() & (g != "") & explicit.isNull()
-    return F.array_distinct(F.array_compact(F.concat(words, F.array(*signs, explicit)))), bad
+    return F.array_distinct(F.array_compact(F.concat(words, signs, F.array(explicit)))), bad
 
 
 def amount(raw: Column, currency: Column | None = None, locale: Column | None = None) -> Column:

@@ -8,9 +8,9 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PAGE = T.StructType.fromDDL("title string, canonical string, h1 array<string>, text string, links array<struct<href: string, text: string>>, images array<string>, json_ld array<string>, meta map<string, string>")
+PAGE = "title string, canonical string, h1 array<string>, text string, links array<struct<href: string, text: string>>, images array<string>, json_ld array<string>, meta map<string, string>"
+_PARTS = ["title", "canonical", "h1", "text", "links", "images", "json_ld", "meta"]
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _BLOCK = {"p", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "br", "table", "ul", "ol", "header", "footer", "main", "nav", "aside", "form", "blockquote", "dt", "dd"}
 
@@ -93,13 +93,14 @@ def page(html: Column) -> Column:
 
     def run(s: pd.Series) -> pd.DataFrame:
         rows = [_read(x) for x in s]
-        return pd.DataFrame([r or dict.fromkeys(PAGE.fieldNames()) for r in rows], columns=PAGE.fieldNames(), index=s.index)
+        return pd.DataFrame([r or dict.fromkeys(_PARTS) for r in rows], columns=_PARTS, index=s.index)
 
     return F.when(html.isNotNull(), F.pandas_udf(run, PAGE)(html))
 
 
 OFFER = "struct<source_id: string, sku: string, name: string, price: string, currency: string, availability: string, url: string>"
-PRODUCT = T.StructType.fromDDL(f"name string, description string, sku string, product_id string, url string, image string, brand string, offers array<{OFFER}>")
+PRODUCT = f"name string, description string, sku string, product_id string, url string, image string, brand string, offers array<{OFFER}>"
+_FIELDS = ["name", "description", "sku", "product_id", "url", "image", "brand", "offers"]
 
 
 def _nodes(value, depth=0):
@@ -171,7 +172,7 @@ def structured_product(json_ld: Column) -> Column:
 
     def run(s: pd.Series) -> pd.DataFrame:
         rows = [_product(x) for x in s]
-        return pd.DataFrame([r or dict.fromkeys(PRODUCT.fieldNames()) for r in rows], columns=PRODUCT.fieldNames(), index=s.index)
+        return pd.DataFrame([r or dict.fromkeys(_FIELDS) for r in rows], columns=_FIELDS, index=s.index)
 
     got = F.pandas_udf(run, PRODUCT)(json_ld)
     return got

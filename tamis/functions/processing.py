@@ -43,24 +43,28 @@ def _denies(clause: Column, pattern: str) -> Column:
     return clause.rlike(pattern) & ~clause.rlike(_DOUBT) & before.rlike(_NO)
 
 
+def _any(cs: Column, test, pattern: str) -> Column:
+    return F.exists(cs, lambda c: test(c, pattern))
+
+
 def methods(text: Column) -> Column:
     """Sorted array of the methods that a text says were used; empty for null."""
     cs = clauses(text)
-    hits = [F.when(F.exists(cs, lambda c, p=p: _says(c, p)), F.lit(k)) for k, p in METHODS.items()]
+    hits = [F.when(_any(cs, _says, p), F.lit(k)) for k, p in METHODS.items()]
     return F.array_sort(F.array_compact(F.array(*hits)))
 
 
 def coferment(text: Column) -> Column:
     """True or false where a text says one of them without doubt, null where it says nothing or both."""
     cs = clauses(text)
-    yes, no = (F.exists(cs, lambda c, f=f: f(c, METHODS["coferment"])) for f in (_says, _denies))
+    yes, no = (_any(cs, f, METHODS["coferment"]) for f in (_says, _denies))
     return F.when(yes & ~no, True).when(no & ~yes, False)
 
 
 def labelled(text: Column, labels: tuple[str, ...] = ("process", "processing", "proceso", "aufbereitung", "traitement", "가공", "精製")) -> Column:
     """What stands behind a label for the process on a line of its own, or on the line after it; null if nothing does."""
     name = "|".join(labels)
-    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     same = F.filter(F.transform(lines, lambda x: F.nullif(F.trim(F.regexp_extract(x, rf"(?i)^[\W_]*(?:{name})\s*(?:[:\-–—]|\s)\s*([\p{{L}}][^\n]{{1,60}})$", 1)), F.lit(""))), lambda x: x.isNotNull())
     after = F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.size(lines), F.lit(1))), lambda i: F.when(F.get(lines, i - 1).rlike(rf"(?i)^\W*(?:{name})\W*$"), F.get(lines, i))), lambda x: x.isNotNull())
     return F.coalesce(F.get(same, 0), F.get(after, 0))

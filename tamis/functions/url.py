@@ -95,7 +95,7 @@ def shared_site_kind(host: Column, sites: dict[str, str] | None = None) -> Colum
 def link_kind(url: Column, text: Column | None = None) -> Column:
     """product, listing or null by the shape of a URL's path, or else by the words of its link."""
     path = F.lower(part(url, "path"))
-    words = F.lower(F.coalesce(text, F.lit("")))
+    words = F.lit("") if text is None else F.lower(F.coalesce(text, F.lit("")))
     return F.when(path.rlike(r"/(?:products?|item|p)/[^/]+/?$"), "product").when(path.rlike(r"/(?:collections?|shop|store|menu|category|catalog)(?:/|$)"), "listing").when(words.rlike(r"^(?:shop|menu|store|all coffee|our coffees?)$"), "listing")
 
 

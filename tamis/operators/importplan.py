@@ -38,7 +38,7 @@ def plan(records: DataFrame, entities: DataFrame, columns: list[str]) -> DataFra
     m = match_kind(one, entities.select("host", "id"), "host", "id")
     e = entities.select(F.col("id").alias("matched"), *[F.col(c).alias(f"e_{c}") for c in columns])
     m = m.join(e, "matched", "left")
-    clash = conflicts(m.filter("kind = 'create'").select("record_id", "host", "name_key"), entities, "record_id", "host", "name_key")
+    clash = conflicts(m.filter("kind = 'create'").select("record_id", "host", "name_key"), entities, "record_id", "host", "name_key", "id")
     inner = m.filter("kind = 'create'")
     twice = inner.groupBy("name_key").agg(F.count("*").alias("twins")).filter("twins > 1 and name_key is not null")
     m = m.join(clash.withColumnsRenamed({"reason": "clash"}).drop("other"), "record_id", "left").join(twice, "name_key", "left")

@@ -87,13 +87,13 @@ def child_hosts(hosts: DataFrame, host: str = "host") -> DataFrame:
     return tail.join(h.select(F.col("h").alias("parent")), "parent").select("child", "parent")
 
 
-def conflicts(incoming: DataFrame, existing: DataFrame, id_col: str, host: str, name_key: str) -> DataFrame:
+def conflicts(incoming: DataFrame, existing: DataFrame, id_col: str, host: str, name_key: str, other_id: str | None = None) -> DataFrame:
     """id, reason, other: why a record can't be created: same_host, same_name or related_host, the first that applies.
 
     The three are equi joins; null hosts and names conflict with nothing.
     """
     i = incoming.select(F.col(id_col).alias("i"), F.col(host).alias("h"), F.col(name_key).alias("n"))
-    e = existing.select(F.col(id_col).alias("other"), F.col(host).alias("eh"), F.col(name_key).alias("en"))
+    e = existing.select(F.col(other_id or id_col).alias("other"), F.col(host).alias("eh"), F.col(name_key).alias("en"))
     tail = lambda c: F.nullif(F.regexp_extract(c, r"^[^.]+\.(.+)$", 1), F.lit(""))
     found = [
         i.join(e, F.col("h") == F.col("eh")).select("i", F.lit(1).alias("p"), F.lit("same_host").alias("reason"), "other"),

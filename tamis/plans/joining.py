@@ -69,7 +69,7 @@ def j13_geo_grid(spark, d):
 
 
 def j16_conflicts(spark, d):
-    return joins.conflicts(_directory(spark, d), _entities(spark, d), "directory_id", "host", "name_key").select("directory_id", "reason")
+    return joins.conflicts(_directory(spark, d), _entities(spark, d), "directory_id", "host", "name_key", "id").select("directory_id", "reason")
 
 
 def j21_inventory_difference(spark, d):
@@ -108,7 +108,7 @@ SQL = {
     "j03_without_recent": "select id from entities e where not exists (select 1 from captured_pages p where p.entity_id = e.id and (fetched_at >= timestamp '2026-03-01' or fetched_at is null))",
     "j06_unique_pairing": f"with {_E}, {_R}, k as (select host, count(*) as n, min(id) as id from e where host is not null group by host) select directory_id, case when n = 1 then id end as entity_id, coalesce(n, 0) as partners from r left join k using (host)",
     "j09_null_safe_adopt": "with k as (select country, region, count(*) as n, min(id) as id from entities group by country, region) select directory_id, k.id as partner, coalesce(n, 0) as candidates, coalesce(n, 0) > 1 as ambiguous from roaster_directory r left join k on r.country is not distinct from k.country and r.region is not distinct from k.region",
-    "j10_stored_matches": "with o as (select id, max(epoch_us(checked_at)) as at from product_variants where availability = 'in_stock' group by id), s as (select distinct id, epoch_us(checked_at) as c, price_cents from product_variants) select s.id, count(*) as rows from s join o using (id) where c is null or c <= at group by s.id",
+    "j10_stored_matches": "with o as (select id, max(epoch_us(checked_at)) as last_us from product_variants where availability = 'in_stock' group by id), s as (select distinct id, epoch_us(checked_at) as c, price_cents from product_variants) select s.id, count(*) as rows from s join o using (id) where c is null or c <= last_us group by s.id",
     "j11_match_kind": f"with {_E}, {_R}, k as (select host, count(*) as n, min(id) as id from e where host is not null group by host) select directory_id, case when n is null then 'create' when n = 1 then 'match' else 'ambiguous' end as kind, case when n = 1 then id end as matched from r left join k using (host)",
     "j12_identity_cascade": f"with {_E}, {_R}, c as (select directory_id, 1 as p, 'host' as rule, e.id from r join e using (host) union all select directory_id, 2, 'name_and_place', e.id from r join e on r.name_key = e.name_key and r.country = e.country and r.region = e.region union all select directory_id, 3, 'name', e.id from r join e on r.name_key = e.name_key), f as (select directory_id, p, rule, count(distinct id) as n, min(id) as id from c group by 1, 2, 3 qualify row_number() over (partition by directory_id order by p) = 1) select r.directory_id, coalesce(rule, 'none') as rule, case when n is null then 'create' when n = 1 then 'match' else 'conflict' end as kind, case when n = 1 then f.id end as matched from r left join f using (directory_id)",
     "j13_geo_grid": "select a.store_id as store_id_a, b.store_id as store_id_b from store_locations a join store_locations b on abs(a.lat - b.lat) < 0.05 and abs(a.lng - b.lng) < 0.05 and a.store_id < b.store_id",

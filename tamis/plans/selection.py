@@ -28,8 +28,8 @@ def a20_latest_observation(spark, d):
 
 
 def a20_latest_status(spark, d):
-    e = table(spark, d, "events").select("user_id", "event_id", F.unix_micros("ts").alias("ts_us"), "event_type")
-    return select.latest(e, ["user_id"], "ts_us", "event_id").groupBy("event_type").agg(F.count("*").alias("users"))
+    e = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
+    return select.latest(e, ["user_id"], "ts", "event_id").groupBy("event_type").agg(F.count("*").alias("users"))
 
 
 def a12_mode_name(spark, d):
