@@ -81,8 +81,13 @@ def resolve(records: DataFrame) -> DataFrame:
     f = forms.select("form", "country", "city", "city_in_line", "postal", "region")
     named = f.withColumn("said", F.explode(F.array_distinct(F.array("city", "city_in_line")))).filter("said != ''")
     by_name = named.join(spelled.withColumnsRenamed({"country": "c", "city": "said"}), "said").filter("country is null or country = c").select("form", F.col("c").alias("home"), "town", (F.lit(3.0) - F.col("cost") - F.when(F.col("town_n") < 3, 1.0).otherwise(0.0) - F.when(F.col("said") == F.col("city"), 0.0).otherwise(0.5)).alias("s"))
-    by_code = f.filter("postal != ''").join(homes.withColumnsRenamed({"country": "c"}), "postal").filter("country is null or country = c").select("form", F.col("c").alias("home"), "town", (F.lit(1.5) + F.least(F.log2("m"), F.lit(4.0)) / 8).alias("s"))
-    towns_tried = by_name.unionByName(by_code).groupBy("form", "home", "town").agg(F.sum("s").alias("town_score"))
+    support = (F.lit(1.5) + F.least(F.log2("m"), F.lit(4.0)) / 8).alias("code_s")
+    told = homes.select(F.col("country").alias("home"), "postal", "town", support)
+    by_name = by_name.join(f.select("form", "postal"), "form").join(told, ["home", "postal", "town"], "left").select("form", "home", "town", (F.col("s") + F.coalesce("code_s", F.lit(0.0))).alias("s"))
+    # of a code that very many towns claim, only the first few can be in a beam without being named
+    first = homes.withColumn("rn", F.row_number().over(Window.partitionBy("country", "postal").orderBy(F.desc("m"), "town"))).filter(F.col("rn") <= BEAM)
+    by_code = f.filter("postal != ''").join(first.withColumnsRenamed({"country": "c"}), "postal").filter("country is null or country = c").select("form", F.col("c").alias("home"), "town", support.alias("s"))
+    towns_tried = by_name.unionByName(by_code).groupBy("form", "home", "town").agg(F.max("s").alias("town_score"))
     towns_tried = checkpoint(_best(towns_tried, "form", "town_score", BEAM, "home", "town"))
 
     # the gazetteer's streets, counted where the town is beyond doubt
