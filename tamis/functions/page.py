@@ -160,7 +160,7 @@ def _product(texts, names: set[str] | None = None):
                 parts = [v for v in n.get("hasVariant") or [] if isinstance(v, dict)]
                 found.append((n, [o for v in parts for o in _offers(v, _text(v.get("name")))] or _offers(n, None)))
             elif _is(n, "Product"):
-                found.append((n, _offers(n, None)))
+                found.append((n, _offers(n, _text(n.get("name")))))
     if len(found) != 1:
         return None
     n, offers = found[0]

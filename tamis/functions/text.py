@@ -113,7 +113,8 @@ def strip_tags(col: Column) -> Column:
     t = F.regexp_replace(t, r"(?s)<[^>]*>", " ")
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(F.regexp_replace(t, "[ \t ]+", " "), " ?\n[ \n]*", "\n"))
+    t = F.regexp_replace(F.regexp_replace(t, "[ \t\u00a0]+", " "), " ?\n[ \n]*", "\n")
+    return F.regexp_replace(t, r"^\s+|\s+$", "")
 
 
 def display_title(title: Column, *origins: Column) -> Column:
@@ -136,4 +137,4 @@ def leading_number(col: Column) -> Column:
 def retry_after_seconds(value: Column, now: Column) -> Column:
     """Seconds from ``now`` told by a Retry-After value, number or HTTP date; never negative, null if unreadable."""
     date = F.try_to_timestamp(F.regexp_extract(value, r"([0-9]{2} [A-Z][a-z]{2} [0-9]{4} [0-9:]{8})", 1), F.lit("dd MMM yyyy HH:mm:ss"))
-    return F.coalesce(leading_number(value), F.greatest(F.lit(0), F.unix_timestamp(date) - F.unix_timestamp(now)))
+    return F.coalesce(leading_number(value), F.when(date.isNotNull(), F.greatest(F.lit(0), F.unix_timestamp(date) - F.unix_timestamp(now))))

@@ -109,7 +109,7 @@ def overlay_json(base: Column, new: Column) -> Column:
     """
     as_map = lambda c: F.from_json(F.coalesce(c, F.lit("{}")), "map<string,variant>")
     both = F.map_zip_with(as_map(base), as_map(new), lambda k, a, b: F.coalesce(b, a))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(both))))
+    return F.to_json(F.map_from_entries(F.transform(F.array_sort(F.map_keys(both)), lambda k: F.struct(k.alias("key"), F.element_at(both, k).alias("value")))))
 
 
 def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
