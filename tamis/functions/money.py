@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Signs that name one currency; $ and ¥ alone don't.
+#: Signs that name one currency; $ and ¥ alone don't.
 SIGNS = {"US$": "USD", "CA$": "CAD", "AU$": "AUD", "NZ$": "NZD", "S$": "SGD", "C$": "CAD", "A$": "AUD", "€": "EUR", "£": "GBP", "Kč": "CZK", "₩": "KRW", "₹": "INR", "₽": "RUB", "₺": "TRY", "₫": "VND", "₪": "ILS", "₴": "UAH", "₦": "NGN"}
-#: Digits behind the point of currencies that haven't two, and the codes that are known.
+#: Digits behind the point of currencies that haven't two (ISO 4217), and the codes that are known.
 DIGITS = {0: "BIF CLP DJF GNF ISK JPY KMF KRW PYG RWF UGX VND VUV XAF XOF XPF", 3: "BHD IQD JOD KWD LYD OMR TND"}
 CODES = set("AED ARS AUD BGN BRL CAD CHF CNY COP CRC CZK DKK DOP EGP ETB EUR GBP GTQ HKD HNL HUF IDR ILS INR KES MAD MXN MYR NGN NIO NOK NZD PAB PEN PHP PKR PLN QAR RON RSD RUB SAR SEK SGD THB TRY TWD TZS UAH USD UYU ZAR".split()) | set(DIGITS[0].split()) | set(DIGITS[3].split())
 #: Locales whose decimal sign is a comma; their groups are set off by a point or a blank.
 COMMA = ("de", "fr", "es", "it", "pt", "nl", "sv", "da", "nb", "fi", "pl", "cs", "tr", "ru", "uk", "id", "vi", "el", "hu", "ro", "bg")
+#: Fixed pattern: what may stand around an amount.
+AFFIX = r"(?i)(?:(?:[A-Z]{3}|Kč|kr|R|[A-Z]{1,2}\$|[$€£¥₩₹₽₺₫฿₱₪₴₦])\s*)*(?:TTC)?"
 _NUMBER = r"[0-9](?:[0-9.,'’ ]*[0-9])?"
 _WIDE = ("０１２３４５６７８９．，＄￥￦－　  ", "0123456789.,$¥₩-   ")
 
@@ -41,8 +43,7 @@ def amount(raw: Column, currency: Column | None = None, locale: Column | None =
     code = F.when(F.size(found) == 1, found[0])
     digits = F.when(code.isin(*DIGITS[0].split()), 0).when(code.isin(*DIGITS[3].split()), 3).otherwise(2)
     number = F.regexp_extract(t, f"({_NUMBER})", 1)
-    affix = r"(?i)(?:(?:[A-Z]{3}|Kč|kr|R|[A-Z]{1,2}\$|[$€£¥₩₹₽₺₫฿₱₪₴₦])\s*)*(?:TTC)?"
-    prose = ~t.rlike(f"^{affix}\\s*{_NUMBER}\\s*{affix}$")
+    prose = ~t.rlike(f"^{AFFIX}\\s*{_NUMBER}\\s*{AFFIX}$")
     grouped = number.rlike("[ '’]")
     n = F.regexp_replace(number, "[ '’]", "")
     comma = F.lower(F.regexp_extract(locale, "^([A-Za-z]{2,3})", 1)).isin(*COMMA)

@@ -182,3 +182,40 @@ def schema_availability(value: Column) -> Column:
     """in_stock, sold_out or unknown for the last word of a schema.org availability; a pre-order tells nothing of stock."""
     v = F.lower(F.element_at(F.split(F.regexp_replace(value, "/+$", ""), "/"), -1))
     return F.when(v.isin("instock", "limitedavailability", "onlineonly", "instoreonly"), "in_stock").when(v.isin("outofstock", "soldout", "discontinued"), "sold_out").otherwise("unknown")
+
+
+#: Words in a page's source that tell the shop system it runs on, in order.
+PLATFORMS = {"shopify": "shopify", "woocommerce": "woocommerce", "wp-content": "woocommerce", "squarespace": "custom"}
+
+
+def platform(html: Column) -> Column:
+    """The shop system of a page by the first word that it holds; custom for others, unknown for null."""
+    h = F.lower(html)
+    out = F.lit("custom")
+    for word, kind in reversed(list(PLATFORMS.items())):
+        out = F.when(h.contains(word), kind).otherwise(out)
+    return F.coalesce(F.when(html.isNotNull(), out), F.lit("unknown"))
+
+
+def semantic_hash(name: Column, text: Column) -> Column:
+    """Hash that stays the same while a page's name and visible words do, whatever becomes of blanks and case."""
+    plain = lambda c: F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " ")))
+    return F.sha2(F.to_json(F.array(plain(name), plain(text))), 256)
+
+
+def primary_image(structured: Column, meta: Column, images: Column) -> Column:
+    """A page's product image: the structured data's, the one named for sharing, or the first that is no logo or icon."""
+    picture = F.filter(images, lambda x: ~F.lower(x).rlike(r"logo|icon|sprite|placeholder|\.svg|^data:"))
+    return F.coalesce(F.nullif(structured, F.lit("")), F.nullif(F.try_element_at(meta, F.lit("og:image")), F.lit("")), F.get(picture, 0))
+
+
+def listing_guard(h1: Column, links: Column, text: Column) -> Column:
+    """Why a page is no product page: listing (many product links), empty_shell (hardly a word), or null."""
+    many = F.size(F.filter(links, lambda x: x["href"].rlike(r"/products?/[^/]+/?$"))) >= 12
+    return F.when(F.coalesce(many & (F.size(h1) <= 1), F.lit(False)), "listing").when(F.length(F.coalesce(text, F.lit(""))) < 40, "empty_shell")
+
+
+def text_parts(id_col: Column, **fields: Column) -> Column:
+    """Array of (field, text, hash) of the fields that say something, for translation or review."""
+    parts = [F.when(F.trim(v) != "", F.struct(F.lit(k).alias("field"), v.alias("text"), F.sha2(F.to_json(F.array(id_col.cast("string"), F.lit(k), v)), 256).alias("hash"))) for k, v in fields.items()]
+    return F.array_compact(F.array(*parts))

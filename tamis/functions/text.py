@@ -54,7 +54,7 @@ def strict_name_key(col: Column, normalise: bool = True) -> Column:
     return clean(F.regexp_replace(t, r"[\p{P}\p{S}]+", " "))
 
 
-#: Words that stand for a missing name.
+#: Words that stand for a missing name.
 PLACEHOLDERS = ("unknown", "n/a", "na", "none", "null", "untitled", "test")
 
 
@@ -117,6 +117,10 @@ def strip_tags(col: Column) -> Column:
     return F.regexp_replace(t, r"^\s+|\s+$", "")
 
 
+#: Grades and codes that keep their capitals in a title.
+GRADES = "EA|SWP|COE|F1|SL[0-9]+|USDA|SCA|AA|AAA|AB|PB"
+
+
 def display_title(title: Column, *origins: Column) -> Column:
     """A title without an origin in front of it; titles all in capitals in title case, but for grades and codes."""
     t = F.trim(title)
@@ -124,8 +128,7 @@ def display_title(title: Column, *origins: Column) -> Column:
         quoted = F.concat(F.lit(r"(?i)^(?:single origin\s*[:—–-]\s*)?\Q"), F.trim(o), F.lit(r"\E\s*[:|—–-]\s*"))
         rest = F.trim(F.regexp_replace(t, quoted, F.lit("")))
         t = F.when(F.coalesce(F.trim(o) != "", F.lit(False)) & (rest != ""), rest).otherwise(t)
-    keep = r"^(?:EA|SWP|COE|F1|SL[0-9]+|USDA|SCA|AA|AAA|AB|PB)$"
-    words = F.transform(F.split(t, r"(?<=[^\p{L}\p{N}])|(?=[^\p{L}\p{N}])"), lambda w: F.when(w.rlike(keep), w).otherwise(F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, 2, 1000)))))
+    words = F.transform(F.split(t, r"(?<=[^\p{L}\p{N}])|(?=[^\p{L}\p{N}])"), lambda w: F.when(w.rlike(f"^(?:{GRADES})$"), w).otherwise(F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, 2, 1000)))))
     return F.when((t == F.upper(t)) & t.rlike(r"\p{L}"), F.array_join(words, "")).otherwise(t)
 
 

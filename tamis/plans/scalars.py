@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tamis.functions import jsonx, keys, money, page, processing, text, url
+from tamis.functions import http, jsonx, keys, money, page, processing, text, url
 from tamis.operators import adapters, robots
 from tamis.session import table
 
@@ -76,6 +76,30 @@ def x37_structured_product(spark, d):
     return adapters.json_ld(table(spark, d, "captured_pages")).select("page_id", "title", "variant_id", "price", "currency", "available")
 
 
+def x51_platform(spark, d):
+    return table(spark, d, "captured_pages").select("page_id", page.platform(F.col("html")).alias("platform"))
+
+
+def x45_semantic_hash(spark, d):
+    p = table(spark, d, "products")
+    return p.select("id", page.semantic_hash(F.col("name"), F.col("description_raw")).alias("hash"))
+
+
+def f21_listing_guard(spark, d):
+    p = table(spark, d, "captured_pages").select("page_id", page.page(F.coalesce("html", "primary_html")).alias("p"))
+    return p.select("page_id", page.listing_guard(F.col("p.h1"), F.col("p.links"), F.col("p.text")).alias("reason"))
+
+
+def f23_failure_kind(spark, d):
+    p = table(spark, d, "captured_pages")
+    return p.groupBy(http.failure_kind(F.col("status"), F.lit(None).cast("string"), F.lit(None).cast("string")).alias("kind"), http.retryable(F.col("status")).alias("retryable")).agg(F.count("*").alias("pages"))
+
+
+def x58_text_parts(spark, d):
+    p = table(spark, d, "products")
+    return p.select(F.explode(page.text_parts(F.col("id"), name=F.col("name"), description=F.col("description_raw"))).alias("x")).select("x.field", F.length("x.text").alias("letters"), "x.hash")
+
+
 def x33_processing(spark, d):
     p = table(spark, d, "products")
     f = p.select("id", processing.facts(F.col("name"), F.get_json_object("metadata", "$.process"), F.col("description_raw")).alias("f"))
@@ -127,7 +151,7 @@ def f16_robots(spark, d):
 
 ROBOTS = "User-agent: *\nDisallow: /products/\nAllow: /products/*-a\n\nUser-agent: other\nDisallow: /\n"
 
-QUERIES = {f.__name__: f for f in (x17_slugs, x17_folded_slug, x18_strict_name_key, x20_clean, x21_name_problem, f27_present, x27_stable_key, x50_same_tokens, x57_numeric_tokens, x57_foreign_script, x62_strip_tags, x67_elevation, x09_display_title, x36_page_facts, x37_structured_product, x33_processing, x53_signal_ladder, u04_overlay_json, x01_money_parse, f15_private_ip, f16_robots)}
+QUERIES = {f.__name__: f for f in (x17_slugs, x17_folded_slug, x18_strict_name_key, x20_clean, x21_name_problem, f27_present, x27_stable_key, x50_same_tokens, x57_numeric_tokens, x57_foreign_script, x62_strip_tags, x67_elevation, x09_display_title, x36_page_facts, x37_structured_product, x51_platform, x45_semantic_hash, f21_listing_guard, f23_failure_kind, x58_text_parts, x33_processing, x53_signal_ladder, u04_overlay_json, x01_money_parse, f15_private_ip, f16_robots)}
 
 _DASH = "regexp_replace(regexp_replace(lower({c}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _COUNT = lambda ps: " + ".join(f"case when contains(t, '{p}') then 1 else 0 end" for p in ps)
@@ -144,6 +168,8 @@ SQL = {
     "x57_numeric_tokens": "select distinct title, array_to_string(list_sort(list_transform(regexp_extract_all(title, '[0-9]+(?:[.,][0-9]+)*'), lambda x: replace(x, ',', '.'))), ' ') as numbers from product_variants",
     "x57_foreign_script": r"select doc_id, regexp_matches(text, '[\p{Hangul}\p{Han}\p{Hiragana}\p{Katakana}\p{Cyrillic}\p{Thai}\p{Arabic}]') as foreign from documents",
     "x67_elevation": "select id, case when regexp_matches(trim(e), '(?i)^[0-9]{1,5}(\\s*(m|masl))?$') then cast(regexp_extract(e, '([0-9]+)', 1) as int) end as elevation_m, json_extract_string(metadata, '$.variety') as variety from (select *, json_extract_string(metadata, '$.elevation') as e from products)",
+    "x51_platform": "select page_id, case when html is null then 'unknown' when contains(lower(html), 'shopify') then 'shopify' when contains(lower(html), 'woocommerce') or contains(lower(html), 'wp-content') then 'woocommerce' else 'custom' end as platform from captured_pages",
+    "f23_failure_kind": "select case when s = 403 then 'blocked' when s = 404 then 'stale_or_missing_url' when s = 429 then 'rate_limited' when s in (402, 409) then 'http_state' when s >= 500 then 'transient_http' when s = 0 then 'network' else 'unknown' end as kind, s in (0, 403, 429) or s >= 500 as retryable, count(*) as pages from (select coalesce(status, 0) as s from captured_pages) group by 1, 2",
     "x53_signal_ladder": f"with s as (select doc_id, lower(coalesce(text, '')) as t from documents), c as (select doc_id, {_COUNT(STRONG)} as strong, {_COUNT(WEAK)} as weak, regexp_matches(t, '{CLOSED}') as closed from s) select doc_id, strong, weak, case when closed then 'closed' when strong >= 1 then 'maker' when weak >= 2 then 'likely' else 'unclear' end as kind from c",
     "x01_money_parse": """select * from (values ('€12,50', 12.5::double, 'EUR', 1250, null), ('1.234,56 EUR', 1234.56, 'EUR', 123456, null), ('$10', 10, null, null, 'unknown_currency'), ('US$1,234.50', 1234.5, 'USD', 123450, null), ('12.500', null, 'EUR', null, 'locale_required'), ('12.500', 12500, 'EUR', 1250000, null), ('25000', 25000, 'KRW', 25000, null),
         ('10-12', null, 'EUR', null, 'missing_or_range_price'), ('from 10 EUR', null, 'EUR', null, 'price_prose'), ('', null, 'EUR', null, 'missing_or_range_price'), ('10.555', 10.555, 'KWD', 10555, null), ('10.55', null, 'JPY', null, 'currency_precision'), ('EUR 10 GBP', null, null, null, 'conflicting_or_invalid_currency'), ('99999999999', null, 'USD', null, 'amount_overflow')) t(raw, amount, currency, minor_units, reason)""",

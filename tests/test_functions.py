@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tamis.functions import jsonx, keys, money, page, processing, text, url
+from tamis.functions import http, jsonx, keys, money, page, processing, text, url
 
 
 def one(spark, make, *values):
@@ -135,3 +135,21 @@ def test_processing(spark):
 @pytest.mark.parametrize("name", ["slug", "clean", "strict_name_key", "strip_tags", "name_problem"])
 def test_long_texts(spark, name):
     assert len(one(spark, getattr(text, name), "word & " * 100_000)) == 1
+
+
+def test_failures(spark):
+    got = one(spark, lambda s, c, m: http.failure_kind(s.cast("int"), c, m), ("403", None, None), ("404", None, None), ("503", "ENOTFOUND", None), (None, "ENOTFOUND", None), (None, None, "bad SSL"), ("0", None, "timeout of 3"), ("200", None, "odd"), (None, None, None), ("310", None, "too many redirects"))
+    assert got == ["blocked", "stale_or_missing_url", "transient_http", "dns", "tls_certificate", "timeout", "unknown", "network", "redirect_loop"]
+    assert one(spark, lambda s: http.retryable(s.cast("int")), "403", "404", "500", None) == [True, False, True, True]
+
+
+def test_page_signs(spark):
+    assert one(spark, page.platform, "<script src=//cdn.Shopify.com>", "wp-content", "squarespace", "x", None) == ["shopify", "woocommerce", "custom", "custom", "unknown"]
+    a, b, c = one(spark, page.semantic_hash, ("Kenya", "Sweet  and\nlong"), ("KENYA ", "sweet and long"), ("Kenya", None))
+    assert a == b != c
+    got = one(spark, lambda h: page.primary_image(F.lit(None).cast("string"), page.page(h)["meta"], page.page(h)["images"]), '<img src="logo.png"><img src="bag.jpg">', '<meta property="og:image" content="og.jpg"><img src="bag.jpg">', "<p>")
+    assert got == ["bag.jpg", "og.jpg", None]
+    many = "<h1>All</h1>" + "".join(f'<a href="/products/p{i}">p</a>' for i in range(15)) + "x" * 60
+    assert one(spark, lambda h: page.listing_guard(page.page(h)["h1"], page.page(h)["links"], page.page(h)["text"]), many, "<p>x</p>", "<p>" + "long " * 20) == ["listing", "empty_shell", None]
+    parts = one(spark, lambda i, t: page.text_parts(i, title=t, note=F.lit(" ")), ("1", "Hallo"), ("2", None))
+    assert [(p["field"], p["text"]) for p in parts[0]] == [("title", "Hallo")] and parts[1] == []
