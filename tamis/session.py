@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +29,27 @@ def build_session(app: str = "tamis", master: str | None = None, shuffle_partiti
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     spark = b.config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session, so that it need not be installed where they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tamis_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tamis-ship-"), "tamis-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("tamis", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._tamis_shipped = True
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder named by spark.checkpoint.dir.
 
