@@ -2,7 +2,7 @@
 
 Parsed forms are counted into a gazetteer: towns of a country, postal codes of towns, streets of towns. Rare spellings that lie
 one slip from a much more frequent one are clustered with it, towns within a country and streets within a town, by joins on keys
-with one letter left out. Every form is then resolved by a beam search: hypotheses on the town, then on the street in each of
+with one letter left out; rare ones also with each other where they share their postal codes. Every form is then resolved by a beam search: hypotheses on the town, then on the street in each of
 them, are scored against the gazetteer and only the best few go on. Records with the same street identifier, number and unit
 are the same place.
 """
@@ -56,6 +56,34 @@ def spelling_clusters(words: DataFrame, within: list[str], word: str, count: str
     return pairs.select(*within, F.col("w").alias(word), "head", "head_n").distinct()
 
 
+def coded_spellings(forms: DataFrame, towns: DataFrame) -> DataFrame:
+    """country, city, head: town spellings one slip from one that is as frequent or more and has their postal codes.
+
+    However rare both are. Half of a spelling's records with a code must have codes of the head, so that one wrong code doesn't
+    join two towns; of equally frequent spellings the last in order is the head.
+    """
+    codes = forms.filter("city != '' and postal != '' and country is not null").groupBy("country", "postal", "city").agg(F.sum("n").alias("m"))
+    keyed = codes.filter(F.length("city") >= 4).join(towns, ["country", "city"]).withColumn("slip", F.explode(slips(F.col("city"))))
+    heads = keyed.select("country", "postal", "slip", F.col("city").alias("head"), F.col("n").alias("head_n"))
+    near = keyed.join(heads, ["country", "postal", "slip"]).filter(((F.col("head_n") > F.col("n")) | ((F.col("head_n") == F.col("n")) & (F.col("head") > F.col("city")))) & one_slip(F.col("city"), F.col("head")))
+    shared = near.select("country", "postal", "city", "head", "m").distinct().groupBy("country", "city", "head").agg(F.sum("m").alias("shared"))
+    return shared.join(codes.groupBy("country", "city").agg(F.sum("m").alias("all")), ["country", "city"]).filter(2 * F.col("shared") >= F.col("all")).select("country", "city", "head")
+
+
+def roots(heads: DataFrame) -> DataFrame:
+    """country, city, head, coded: every spelling with the heads that are no slips themselves, reached from head to head."""
+    done, going = None, checkpoint(heads.groupBy("country", "city", "head").agg(F.max("coded").alias("coded")))
+    step = going.select("country", F.col("city").alias("head"), F.col("head").alias("next"), F.col("coded").alias("next_coded"))
+    # a head is more frequent or later in order than its slips, so every path ends
+    while True:
+        far = going.join(step, ["country", "head"], "left")
+        ends = far.filter("next is null").select("country", "city", "head", "coded")
+        done = ends if done is None else done.unionByName(ends)
+        going = checkpoint(far.filter("next is not null").groupBy("country", "city", F.col("next").alias("head")).agg(F.max(F.col("coded") & F.col("next_coded")).alias("coded")))
+        if going.isEmpty():
+            return done.groupBy("country", "city", "head").agg(F.max("coded").alias("coded"))
+
+
 def _best(df: DataFrame, key: str, score: str, keep: int, *ties: str) -> DataFrame:
     """The ``keep`` best rows of each form; forms are distinct, so a group is the few hypotheses of one."""
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(score), *ties))).filter(F.col("rn") <= keep).drop("rn")
@@ -67,15 +95,14 @@ def resolve(records: DataFrame) -> DataFrame:
 
     # the gazetteer's towns: spellings within a country, each with its heads
     towns = forms.filter("city != '' and country is not null").groupBy("country", "city").agg(F.sum("n").alias("n"))
-    town_heads = spelling_clusters(towns, ["country"], "city")
-    # a head that is itself a slip of another is none
-    town_heads = town_heads.join(town_heads.select("country", F.col("city").alias("head")).distinct(), ["country", "head"], "left_anti")
+    town_heads = spelling_clusters(towns, ["country"], "city").select("country", "city", "head", F.lit(False).alias("coded")).unionByName(coded_spellings(forms, towns).withColumn("coded", F.lit(True)))
+    town_heads = checkpoint(roots(town_heads)).join(towns.select("country", F.col("city").alias("head"), F.col("n").alias("head_n")), ["country", "head"])
     spelled = checkpoint(
-        towns.join(town_heads.select("country", "city").distinct(), ["country", "city"], "left_anti").select("country", "city", F.col("city").alias("town"), F.col("n").alias("town_n"), F.lit(0.0).alias("cost"))
-        .unionByName(town_heads.select("country", "city", F.col("head").alias("town"), F.col("head_n").alias("town_n"), F.lit(1.0).alias("cost")))
+        towns.join(town_heads.select("country", "city").distinct(), ["country", "city"], "left_anti").select("country", "city", F.col("city").alias("town"), F.col("n").alias("town_n"), F.lit(0.0).alias("cost"), F.lit(True).alias("sure"))
+        .unionByName(town_heads.select("country", "city", F.col("head").alias("town"), F.col("head_n").alias("town_n"), F.lit(1.0).alias("cost"), (F.col("coded") & (F.count("*").over(Window.partitionBy("country", "city")) == 1)).alias("sure")))
     )
-    # postal codes of towns
-    homes = forms.filter("postal != '' and city != '' and country is not null").join(spelled.filter("cost = 0"), ["country", "city"]).groupBy("country", "postal", "town").agg(F.sum("n").alias("m"))
+    # postal codes of towns, those of a spelling that a code joined to a single head included
+    homes = forms.filter("postal != '' and city != '' and country is not null").join(spelled.filter("sure"), ["country", "city"]).groupBy("country", "postal", "town").agg(F.sum("n").alias("m"))
 
     # first step of the beam: the town. A form without a country tries all countries
     f = forms.select("form", "country", "city", "city_in_line", "postal", "region")

@@ -44,6 +44,20 @@ def test_slips(spark):
     assert pairs(spark, many + slips) == {(7, 101), (8, 102), (9, 103)}
 
 
+def test_slips_of_rare_towns(spark):
+    # one record each: a common postal code joins the spellings, also over a third one, but not without it
+    rows = [(1, ("499 Mt Belden Avenue W", None, "Driftwood", "MN", "38957", "US")), (2, ("499 W MT BELDEN AV", None, "DRIRTWOOD", "MN", "38957", "US")), (3, ("499 W Mt Belden Ave", None, "Drirtwod", None, "38957", "US"))]
+    other = [(4, ("43 Rue des Forges", None, "Ormskosiac", None, "90532", "FR")), (5, ("43 Rue des Forges", None, "Ormskossac", None, "90611", "FR"))]
+    assert pairs(spark, rows + other) == {(1, 2), (1, 3), (2, 3)}
+
+
+def test_a_wrong_code_joins_no_towns(spark):
+    # two towns one slip apart stay two, though one record has the other's code; a code of one slip only still leads to its town
+    rows = [(i, (f"{i % 10} Brewster Road", None, town, "TX", code, "US")) for i, (town, code) in enumerate([("Elkham", "38100")] * 10 + [("Elkhan", "47200")] * 8)]
+    rows += [(18, ("8 Brewster Road", None, "Elkhan", "TX", "38100", "US")), (20, ("3 Oak Road", None, "Driftwood", None, "51000", "US")), (21, ("3 Oak Road", None, "Drifwood", None, "51000", "US")), (22, ("4 Oak Road", None, "Drifwood", None, "52000", "US")), (23, ("4 Oak Road", None, None, None, "52000", "US"))]
+    assert pairs(spark, rows) == {(20, 21), (22, 23)}
+
+
 def test_hot_place_and_repeats(spark):
     rows = [(i, ("5 Main Street", None, "Elkville", "TX", "38100", "US")) for i in range(40)] + [(3, ("5 Main Street", None, "Elkville", "TX", "38100", "US")), (None, ("5 Main Street", None, "Elkville", "TX", "38100", "US"))]
     assert pairs(spark, rows) == {(a, b) for a in range(40) for b in range(a + 1, 40)}
