@@ -15,6 +15,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tamis.llm.addresses import one_slip, slips
 from tamis.llm.addressparse import country_code
@@ -28,7 +29,7 @@ COUNTRY = {"same": 1.5, "other": -9.0, "unknown": 0.0}
 REGION = {"same": 2.0, "other": -5.0, "unknown": 0.0}
 #: How much likelier than not at all a second record of one list is for an entity; rounds, and the change at which they end.
 TWICE, ROUNDS, STILL = 0.3, 12, 1e-3
-#: Names on a site from which it counts as shared, and entities under a key beyond which the key alone makes no pairs.
+#: Names on a site from which it counts as shared, and entities under a key, or of equal odds for a record, beyond which they are counted, not paired one by one.
 SHARED, CROWD = 20, 50
 
 #: What firms of the trade put around their names, and before or after them in their hosts.
@@ -116,13 +117,13 @@ def profiles(rows: DataFrame, key: str, aliases: str | None, listed: str | None)
 
 
 def _keys(e: DataFrame, d: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(id, k, country, region, host) of entities and of directory records, a row for each key."""
+    """(id, k) of entities and of directory records, a row for each key."""
     key = lambda kind, *cols: F.concat_ws("|", F.lit(kind), *cols)
 
     def keyed(t: DataFrame, names: Column) -> DataFrame:
-        by_name = t.withColumn("name", F.explode(F.array_distinct(names))).filter(F.length("name") > 3).withColumn("slip", F.explode(slips(F.col("name")))).select("id", key("n", "slip").alias("k"), "country", "region", "host")
-        by_site = t.filter("host != '' and not shared").select("id", key("h", "bare").alias("k"), "country", "region", "host")
-        by_shop = t.filter("shared and path != ''").select("id", key("s", "host", "path").alias("k"), "country", "region", "host")
+        by_name = t.withColumn("name", F.explode(F.array_distinct(names))).filter(F.length("name") > 3).withColumn("slip", F.explode(slips(F.col("name")))).select("id", key("n", "slip").alias("k"))
+        by_site = t.filter("host != '' and not shared").select("id", key("h", "bare").alias("k"))
+        by_shop = t.filter("shared and path != ''").select("id", key("s", "host", "path").alias("k"))
         return by_name.unionByName(by_site).unionByName(by_shop).distinct()
 
     every = F.array(F.col("core"), F.col("bag"), F.when(~F.col("shared"), F.col("from_host")), F.when(F.col("shared"), F.col("path")))
@@ -132,26 +133,35 @@ def _keys(e: DataFrame, d: DataFrame) -> tuple[DataFrame, DataFrame]:
 def candidates(e: DataFrame, d: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((e, d) of entities and directory records that share a key, (d, rest) with what a record's unpaired rivals weigh).
 
-    Where more than CROWD entities share a key, pairs are made only where country and region, or the sites, agree too. The other
-    entities of the crowd have no pair, but their odds count against the record: they are summed by country and region.
+    Where more than CROWD entities share a key, those that are alike in all that is evidence, but for own sites, are counted and
+    judged as one against each record that has the key. All of odds above one become pairs, unless more than CROWD weigh the
+    same for the record: none of them can be above one half, as even those that other records claim keep TWICE of their odds.
+    These and the odds below one have no pair, but count against the record by their sum.
     """
     ek, dk = _keys(e, d)
     crowd = broadcast_if_small(ek.groupBy("k").agg(F.count("*").alias("m")).filter(F.col("m") > CROWD).select("k"))
-
-    def split(t: DataFrame) -> DataFrame:
-        place = F.when((F.col("country") != "") & (F.col("region") != ""), F.concat_ws("|", "k", F.lit("place"), "country", "region"))
-        host = F.when(F.col("host") != "", F.concat_ws("|", "k", F.lit("host"), "host"))
-        return t.join(crowd, "k", "left_semi").select("id", F.explode(F.array_compact(F.array(place, host))).alias("k"))
-
-    rest = lambda t: t.join(crowd, "k", "left_anti").select("id", "k")
-    pairs = rest(ek).unionByName(split(ek)).withColumnRenamed("id", "e").join(rest(dk).unionByName(split(dk)).withColumnRenamed("id", "d"), "k").select("e", "d").distinct()
-    groups = ek.join(crowd, "k", "left_semi").groupBy("k", F.col("country").alias("ec"), F.col("region").alias("er")).agg(F.count("*").alias("m"))
-    asked = dk.join(crowd, "k", "left_semi").select("k", "country", "region").distinct()
-    unpaired = ~((F.col("ec") == F.col("country")) & (F.col("er") == F.col("region")) & (F.col("country") != "") & (F.col("region") != ""))
-    weigh = lambda a, b, w: F.when((a == "") | (b == ""), w["unknown"]).when(a == b, w["same"]).otherwise(w["other"])
-    odds = F.exp(F.lit(PRIOR + NAME["same"]) + weigh(F.col("ec"), F.col("country"), COUNTRY) + weigh(F.col("er"), F.col("region"), REGION))
-    mass = asked.join(groups, "k").filter(unpaired).groupBy("k", "country", "region").agg(F.sum(F.col("m") * odds).alias("rest"))
-    return pairs, dk.join(mass, ["k", "country", "region"]).groupBy(F.col("id").alias("d")).agg(F.max("rest").alias("rest"))
+    direct = ek.join(crowd, "k", "left_anti").withColumnRenamed("id", "e").join(dk.join(crowd, "k", "left_anti").withColumnRenamed("id", "d"), "k").select("e", "d").distinct()
+
+    # an own site that a record has as well is a key; any other is another site, whichever it is
+    own, shop = (F.col("host") != "") & ~F.col("shared"), F.when(F.col("shared"), F.col("host"))
+    alike = F.xxhash64("core", "bag", own, shop, F.when(F.col("shared"), F.col("path")), "country", "region")
+    kinds = e.select("id", alike.alias("kind"))
+    members = checkpoint(ek.join(crowd, "k", "left_semi").join(kinds, "id"))
+    groups = members.groupBy("k", "kind").agg(F.count("*").alias("m"), F.min("id").alias("one"))
+    groups = groups.withColumn("bare", F.when(F.startswith("k", F.lit("h|")), F.substr("k", F.lit(3))).otherwise(""))
+    # a group that shares several keys with a record is met once, where most of it are
+    asked = dk.join(crowd, "k", "left_semi").join(groups, "k").groupBy(F.col("id").alias("d"), "kind", "bare").agg(F.max(F.struct("m", "k", "one")).alias("g")).select("d", "kind", "bare", "g.*")
+    asked = checkpoint(asked.withColumn("e", F.concat_ws("|", "kind", "bare")))
+    faces = asked.select("one", F.col("bare").alias("face"), "e").distinct().dropDuplicates(["e"]).join(e.withColumnRenamed("id", "one"), "one")
+    faces = faces.withColumn("bare", F.when(F.col("face") != "", F.col("face")).otherwise("|")).withColumn("id", F.col("e")).select(*e.columns)
+    judged = asked.join(evidence(asked.select("e", "d"), faces, d).select("e", "d", "u"), ["e", "d"])
+    # what has a pair by another key isn't counted again
+    paired = direct.join(kinds.withColumnRenamed("id", "e"), "e").groupBy("d", "kind").agg(F.count("*").alias("had"))
+    judged = judged.join(paired, ["d", "kind"], "left").withColumn("m", F.greatest(F.col("m") - F.coalesce("had", F.lit(0)), F.lit(0)))
+    judged = judged.withColumn("ties", F.sum("m").over(Window.partitionBy("d", "u")))
+    judged = checkpoint(judged.select("d", "k", "kind", "m", "u", ((F.col("u") > 0) & (F.col("ties") <= CROWD)).alias("pair")))
+    pairs = judged.filter("pair and m > 0").select("d", "k", "kind").join(members.withColumnRenamed("id", "e"), ["k", "kind"]).select("e", "d")
+    return direct.unionByName(pairs).distinct(), judged.filter("not pair").groupBy("d").agg(F.sum(F.col("m") * F.exp(F.least("u", F.lit(40.0)))).alias("rest"))
 
 
 def evidence(pairs: DataFrame, e: DataFrame, d: DataFrame) -> DataFrame:

@@ -77,6 +77,17 @@ def test_crowd(spark):
     assert M.found(e, dd).count() == 0
 
 
+def test_crowd_with_parts_missing(spark):
+    # one of a crowd in the record's country, whose region either side leaves open; then one without a site, or of another name
+    abroad = [(f"c{i}", "Bluebird Meadow Coffee", None, "CA" if i % 2 else "DE", f"R{i}") for i in range(59)]
+    d = [("x1", "Bluebird Meadow", None, None, "US", None, "a"), ("x2", "Bluebird Meadow", None, "other.example", "FR", "Bretagne", "b"), ("x3", "Bluebird Meadow", None, None, "CA", None, "a")]
+    sites = [(f"s{i}", "Bluebird Meadow", f"https://firm{i}.example", "FR", None) for i in range(60)]
+    e, dd = tables(spark, [*abroad, ("us", "Bluebird Meadow", None, "US", "R7")], d)
+    assert {(r["entity_id"], r["directory_id"]): round(r["confidence"], 2) for r in M.matched(e, dd).collect() if r["confidence"] > 0.5} == {("us", "x1"): 0.92}
+    e, dd = tables(spark, [*abroad, *sites, ("bare", "Bluebird Meadow", None, "FR", "Bretagne")], d)
+    assert {(r["entity_id"], r["directory_id"]) for r in M.found(e, dd).collect()} == {("bare", "x2")}
+
+
 def test_keys():
     assert M.name_core("The Junsova's Thistle Coffee Co., Ltd. (online only)") == "junsovasthistle" and M.name_core("Coffee Roasters GmbH") == "" and M.name_core(None) == ""
     assert M.name_bag("Holperosa-Pinnacle") == M.name_bag("PINNACLE AND HOLPEROSA Café") and M.name_bag("One") == ""
