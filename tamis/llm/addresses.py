@@ -1,10 +1,11 @@
 """Records of the same place, by a gazetteer that the records themselves make up.
 
 Parsed forms are counted into a gazetteer: towns of a country, postal codes of towns, streets of towns. Rare spellings that lie
-one slip from a much more frequent one are clustered with it, towns within a country and streets within a town, by joins on keys
-with one letter left out; rare ones also with each other where they share their postal codes. Every form is then resolved by a beam search: hypotheses on the town, then on the street in each of
-them, are scored against the gazetteer and only the best few go on. Records with the same street identifier, number and unit
-are the same place.
+one slip from a much more frequent one are clustered with it by joins on keys with one letter left out: towns within a country,
+rare ones also with each other where they share their postal codes, and streets by the counts of a country unless house
+numbers of its own in a town speak for the spelling. Every form is then resolved by a beam search: hypotheses on the town, then on the
+street in each of them, are scored against the gazetteer and only the best few go on. Records with the same street identifier,
+number and unit are the same place.
 """
 
 from __future__ import annotations
@@ -123,14 +124,20 @@ def resolve(records: DataFrame) -> DataFrame:
     kind = F.when(F.col("home").isin("DE", "AT", "CH") & (F.col("kind") == "street"), F.lit("strasse")).otherwise(F.col("kind"))
     streets = checkpoint(forms.join(top, "form").withColumn("kind", kind).groupBy("home", "town", "street", "kind", "direction").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("town_score") >= 2, F.col("n")).otherwise(0)).alias("n")))
     names = streets.groupBy("home", "street").agg(F.sum("all").alias("n"))
-    # a spelling is a slip if it is one of a name much more frequent in the country; within the town the head is looked up
+    # a spelling may be a slip if it is one of a name much more frequent in the country; within the town the head is looked up
     name_heads = checkpoint(spelling_clusters(names, ["home"], "street"))
+    # but where records of a town carry it at two or more numbers that none of its heads has there, the name stands as well: a slip
+    # is made in records of a place, whose other records mostly have its right name
+    numbers = checkpoint(forms.join(top.filter("town_score >= 2"), "form").select("home", "town", "street", "number").distinct())
+    theirs = numbers.withColumnRenamed("street", "head").withColumn("had", F.lit(1))
+    stands = numbers.join(name_heads.select("home", "street", "head"), ["home", "street"]).join(theirs, ["home", "town", "head", "number"], "left")
+    stands = stands.groupBy("home", "town", "street", "number").agg(F.max("had").alias("had")).filter("had is null").groupBy("home", "town", "street").agg(F.count("*").alias("own")).filter("own > 1").drop("own")
     true = names.join(name_heads.select("home", "street").distinct(), ["home", "street"], "left_anti").select("home", "street")
 
     # second step: the street in each town
     g = forms.select("form", "street", "kind", "direction", "number")
     tried = towns_tried.join(g, "form").withColumn("kind", kind)
-    exact = tried.join(true, ["home", "street"]).withColumns({"name": F.col("street"), "slip_cost": F.lit(0.0)})
+    exact = tried.join(true, ["home", "street"]).unionByName(tried.join(stands, ["home", "town", "street"])).withColumns({"name": F.col("street"), "slip_cost": F.lit(0.0)})
     slipped = tried.join(name_heads, ["home", "street"]).withColumns({"name": F.col("head"), "slip_cost": F.lit(1.0)}).drop("head", "head_n")
     hypotheses = exact.unionByName(slipped)
     known = streets.filter("n > 0").select("home", "town", F.col("street").alias("name"), "kind", "direction", F.col("n").alias("known"))

@@ -58,6 +58,13 @@ def test_a_wrong_code_joins_no_towns(spark):
     assert pairs(spark, rows) == {(20, 21), (22, 23)}
 
 
+def test_streets_one_slip_apart(spark):
+    # Hill Road is frequent in the country, but Mill Road has numbers of its own in Elkville; that of Aldfield is a slip, though made twice
+    rows = [(i, (f"{i} Hill Road", None, "Aldfield", "TX", "16199", "US")) for i in range(1, 20)] + [(i, ("7 Mill Road", None, "Aldfield", "TX", "16199", "US")) for i in (20, 21)]
+    rows += [(30, ("12 Hill Road", None, "Elkville", "TX", "38100", "US")), (31, ("12 Mill Road", None, "Elkville", "TX", "38100", "US"))] + [(i, (f"{i} Mill Rd", None, "Elkville", "TX", "38100", "US")) for i in (32, 33)]
+    assert pairs(spark, rows) == {(7, 20), (7, 21), (20, 21)}
+
+
 def test_hot_place_and_repeats(spark):
     rows = [(i, ("5 Main Street", None, "Elkville", "TX", "38100", "US")) for i in range(40)] + [(3, ("5 Main Street", None, "Elkville", "TX", "38100", "US")), (None, ("5 Main Street", None, "Elkville", "TX", "38100", "US"))]
     assert pairs(spark, rows) == {(a, b) for a in range(40) for b in range(a + 1, 40)}
