@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tamis.session import checkpoint
+
 
 def _flat(best: DataFrame, keys: list[str], struct: str, columns: list[str]) -> DataFrame:
     return best.select(*[F.col(struct)["row"][c].alias(c) for c in columns])
@@ -93,9 +95,25 @@ def numbered_slugs(df: DataFrame, base: str, order: str, used: DataFrame | None
     stem = F.regexp_replace("slug", "-[0-9]+$", "")
     last = taken.groupBy(stem.alias("_b")).agg(F.max(F.coalesce(F.regexp_extract("slug", "-([0-9]+)$", 1).try_cast("int"), F.lit(1))).alias("_last"))
     d = df.withColumn("_b", F.lower(base)).join(last, "_b", "left")
-    d = d.withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(order)) + F.coalesce("_last", F.lit(0)))
+    d = d.withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(order)) + F.coalesce("_last", F.lit(0))).withColumn("_row", F.monotonically_increasing_id())
+    # cut bases that begin alike may get the same slugs, so they are numbered on together
+    family = F.left("_b", F.greatest(F.lit(1), F.lit(length - 12)))
     tail = F.concat(F.lit("-"), F.col("_n").cast("string"))
-    return d.withColumn("allocated", F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat(F.left(F.col(base), F.lit(length) - F.length(tail)), tail))).drop("_b", "_last", "_n")
+    own = Window.partitionBy("_slug").orderBy((F.col("_n") > 1).cast("int"), order, "_row")
+    done, going = None, checkpoint(d.drop("_last"))
+    while True:
+        named = going.withColumn("allocated", F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat(F.left(F.col(base), F.lit(length) - F.length(tail)), tail)))
+        named = named.withColumn("_slug", F.lower("allocated")).withColumn("_at", F.row_number().over(own)).join(taken.select(F.col("slug").alias("_slug"), F.lit(True).alias("_had")), "_slug", "left")
+        named = checkpoint(named.withColumn("_clash", F.col("_slug").isNotNull() & ((F.col("_at") > 1) | F.col("_had").isNotNull())))
+        settled = named.filter(~F.col("_clash")).drop("_at", "_had", "_clash")
+        done = settled if done is None else done.unionByName(settled)
+        clash = named.filter("_clash")
+        if clash.isEmpty():
+            return done.select(*df.columns, "allocated")
+        taken = taken.unionByName(settled.filter("_slug is not null").select(F.col("_slug").alias("slug")))
+        top = done.select("_b", "_n").unionByName(clash.select("_b", "_n")).groupBy(family.alias("_f")).agg(F.max("_n").alias("_top"))
+        again = clash.select(*df.columns, "_b", "_row", family.alias("_f")).join(top, "_f")
+        going = checkpoint(again.withColumn("_n", F.col("_top") + F.row_number().over(Window.partitionBy("_f").orderBy(order, "_row"))).drop("_f", "_top"))
 
 
 def next_positions(existing: DataFrame, new: DataFrame, keys: list[str], position: str, order: str) -> DataFrame:

@@ -51,6 +51,13 @@ def test_slug_numbers(spark):
     assert rows(select.next_positions(table(spark, "p string, n int", [("a", 3)]), table(spark, "p string, i int", [("a", 1), ("a", 2), ("b", 9)]), ["p"], "n", "i"), "p", "i", "n") == [("a", 1, 4), ("a", 2, 5), ("b", 9, 0)]
 
 
+def test_slug_rounds(spark):
+    a, b = "y" * 79 + "a", "y" * 79 + "b"
+    df = table(spark, "i int, base string", [(1, "x"), (2, "x"), (3, "x-2"), (4, a), (5, a), (6, b), (7, b), (8, "z-2"), (9, None)])
+    got = dict(rows(select.numbered_slugs(df, "base", "i", table(spark, "slug string", [("z-2",)])), "i", "allocated"))
+    assert got == {1: "x", 2: "x-3", 3: "x-2", 4: a, 5: "y" * 78 + "-2", 6: b, 7: "y" * 78 + "-3", 8: "z-2-2", 9: None}
+
+
 def test_backoff(spark):
     df = table(spark, "attempt int", [(1,), (2,), (3,), (4,)])
     assert rows(select.backoff_schedule(df, "attempt", 100)) == [(1, 100, 100), (2, 200, 300), (3, 400, 700), (4, 800, 1500)]
