@@ -25,7 +25,7 @@ def test_buckets_are_optimal(seed):
 
 
 def test_no_sizes():
-    assert packing.length_buckets([], [], 4) == [] and packing.pack_histogram([], [], 10) == []
+    assert packing.length_buckets([], [], 4) == [] and packing.pack_histogram([], [], 10, []) == []
 
 
 @pytest.mark.parametrize("seed", range(8))
@@ -35,15 +35,47 @@ def test_patterns_use_all_items_and_fit(seed):
     h = {r.randint(1, cap): r.randint(1, 400) for _ in range(40)}
     sizes = sorted(h)
     used = dict.fromkeys(sizes, 0)
-    out = packing.pack_histogram(sizes, [h[s] for s in sizes], cap)
-    for times, pattern in out:
-        assert sum(s * n for s, n in pattern) <= cap
+    bounds = packing.length_buckets(sizes, [h[s] for s in sizes], r.randint(1, 6))
+    out = packing.pack_histogram(sizes, [h[s] for s in sizes], cap, bounds)
+    for times, bound, pattern in out:
+        assert sum(s * n for s, n in pattern) <= cap and bound in bounds and max(s for s, _ in pattern) <= bound
         for s, n in pattern:
             used[s] += n * times
     assert used == h
     least = -(-sum(s * n for s, n in h.items()) // cap)
     big = sum(n for s, n in h.items() if 2 * s > cap)
-    assert sum(t for t, _ in out) <= max(least, big) * 1.25 + 2
+    assert sum(t for t, _, _ in out) <= max(least, big) * 1.25 + 2
+
+
+def test_batches_keep_to_their_bucket_while_it_has_items():
+    sizes, counts = [10, 30, 40, 45, 55, 60], [4, 4, 2, 2, 2, 2]
+    for bounds in ([60], [30, 60], [45, 60], [10, 30, 40, 60]):
+        left = dict(zip(sizes, counts))
+        for times, bound, pattern in packing.pack_histogram(sizes, counts, 100, bounds):
+            lower = max([b for b in bounds if b < bound], default=0)
+            room = 100 - sum(s * n for s, n in pattern if s > lower)
+            for s, n in pattern:
+                left[s] -= n * times
+            # topped up only where no item left in the bucket would have fitted
+            if any(s <= lower for s, _ in pattern):
+                assert not any(left[s] and lower < s <= bound and s <= room for s in sizes)
+
+
+def test_buckets_decide_the_batches():
+    r = random.Random(3)
+    h = {}
+    for _ in range(5000):
+        x = min(512, max(1, int(r.lognormvariate(4.5, 0.7))))
+        h[x] = h.get(x, 0) + 1
+    sizes = sorted(h)
+    counts = [h[s] for s in sizes]
+    least = -(-sum(s * n for s, n in h.items()) // 512)
+    made = []
+    for k in (1, 4, 16):
+        out = packing.pack_histogram(sizes, counts, 512, packing.length_buckets(sizes, counts, k))
+        assert sum(t for t, _, _ in out) <= least * 1.01 + 1
+        made.append(sorted((t, tuple(sorted(p))) for t, _, p in out))
+    assert made[0] != made[1] != made[2]
 
 
 SCHEMA = "doc_id bigint, kind string, n_tokens bigint, size string, salt int"
