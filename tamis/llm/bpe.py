@@ -16,6 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import SparkContext, SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +57,8 @@ class PairIndexEncoder:
         left, right = (np.array([vocab[p[i]] for p in pairs], np.int64) for i in (0, 1))
         self.left, self.right = left.astype(np.int32), right.astype(np.int32)
         self.made = np.array([vocab[p[0] + p[1]] for p in pairs], np.int32)
+        symbols = _byte_symbols()
+        self.pieces = {i: bytes(symbols[c] for c in w) for w, i in vocab.items() if all(c in symbols for c in w)}
         keys = left << 32 | right
         self.order = np.argsort(keys, kind="stable").astype(np.int32)
         self.keys = keys[self.order]
@@ -154,10 +157,25 @@ class PairIndexEncoder:
         return out
 
 
+    def decode(self, ids: list[int]) -> str:
+        """The text of a list of ids; bytes that are no UTF-8 become replacement marks."""
+        return b"".join(self.pieces[i] for i in ids).decode("utf-8", "replace")
+
+
+def ship_vocabulary(path: str) -> str:
+    """Send the vocabulary file along with the job, once, so that workers need no copy of their own."""
+    sc = SparkContext._active_spark_context
+    sent = sc.__dict__.setdefault("_tamis_vocabularies", set()) if sc is not None else {path}
+    if path not in sent:
+        sc.addFile(path)
+        sent.add(path)
+    return path
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PairIndexEncoder:
-    """One per worker process and vocabulary."""
-    return PairIndexEncoder(path)
+    """One per worker process and vocabulary: the file at ``path`` or, where there is none, the copy sent with the job."""
+    return PairIndexEncoder(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
 
 
 def token_ids(text: Column, path: str | None = None) -> Column:
@@ -165,7 +183,7 @@ def token_ids(text: Column, path: str | None = None) -> Column:
 
     Null and empty texts have an empty list, blank texts are encoded.
     """
-    path = path or vocabulary_path()
+    path = ship_vocabulary(path or vocabulary_path())
 
     def ids(s: pd.Series) -> pd.Series:
         return pd.Series(encoder(path).encode([x if isinstance(x, str) else None for x in s]), index=s.index)
@@ -175,7 +193,7 @@ def token_ids(text: Column, path: str | None = None) -> Column:
 
 def token_counts(text: Column, path: str | None = None) -> Column:
     """Number of ids of a text column; 0 for null and empty texts."""
-    path = path or vocabulary_path()
+    path = ship_vocabulary(path or vocabulary_path())
 
     def count(s: pd.Series) -> pd.Series:
         return pd.Series([len(x) for x in encoder(path).encode([x if isinstance(x, str) else None for x in s])], index=s.index, dtype="int64")
@@ -186,3 +204,13 @@ def token_counts(text: Column, path: str | None = None) -> Column:
 def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(key, ids) of every row. Only the two named columns are read; repeated rows stay repeated."""
     return docs.select(F.col(key), token_ids(F.col(text), path).alias("ids"))
+
+
+def decoded_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+    """(key, text): every text encoded and decoded again; null texts come back empty, all others as they were."""
+    path = ship_vocabulary(path or vocabulary_path())
+
+    def back(s: pd.Series) -> pd.Series:
+        return pd.Series([encoder(path).decode(list(x)) for x in s], index=s.index, dtype=object)
+
+    return encode_documents(docs, key, text, path).select(key, F.pandas_udf(back, T.StringType())("ids").alias("text"))

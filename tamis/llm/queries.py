@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
 from tamis.llm import abuse, addresses, bpe, language, mainbody, matching, packing
 from tamis.session import table
@@ -13,6 +13,11 @@ def p6_ids(spark, sf_dir):
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def p6_decoded(spark, sf_dir):
+    """doc_id and the text that its ids decode to."""
+    return bpe.decoded_documents(table(spark, sf_dir, "documents"))
+
+
 def _packed(spark, sf_dir):
     return packing.pack_items(packing.sized_documents(table(spark, sf_dir, "documents")), packing.read_specs(table(spark, sf_dir, "container_specs")))
 
@@ -27,6 +32,18 @@ def p7_summary(spark, sf_dir):
     return _packed(spark, sf_dir)[1]
 
 
+def p7_audit(spark, sf_dir):
+    """For each spec: documents placed, pieces of documents split for no need or placed twice, and containers above capacity."""
+    specs = table(spark, sf_dir, "container_specs")
+    assignment, report = _packed(spark, sf_dir)
+    by_doc = assignment.groupBy("spec_id", "doc_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("pieces")).join(F.broadcast(report.select("spec_id", "capacity_tokens")), "spec_id")
+    docs = by_doc.groupBy("spec_id").agg(F.count("*").alias("documents"), F.sum(F.when(F.col("pieces") != F.ceil(F.col("n") / F.col("capacity_tokens")), 1).otherwise(0)).alias("wrongly_split"))
+    full = assignment.groupBy("spec_id", "container_id").agg(F.sum("n_tokens").alias("n")).join(F.broadcast(report.select("spec_id", "capacity_tokens")), "spec_id")
+    full = full.groupBy("spec_id").agg(F.sum(F.when(F.col("n") > F.col("capacity_tokens"), 1).otherwise(0)).alias("overfull"))
+    counted = report.select("spec_id", (F.col("containers") <= F.ceil(F.col("least_possible") * 1.01) + 1).alias("within_a_hundredth"))
+    return F.broadcast(specs.select("spec_id")).join(docs, "spec_id", "left").join(full, "spec_id", "left").join(counted, "spec_id", "left").select("spec_id", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("wrongly_split", F.lit(0)).alias("wrongly_split"), F.coalesce("overfull", F.lit(0)).alias("overfull"), "within_a_hundredth")
+
+
 def p5_found(spark, sf_dir):
     """doc_id, lang of documents whose label is missing, wrong or not the only language."""
     return language.relabelled(table(spark, sf_dir, "documents"))
@@ -82,5 +99,14 @@ def p4_confidence(spark, sf_dir):
     return matching.matched(table(spark, sf_dir, "entities"), table(spark, sf_dir, "roaster_directory"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_confidence": p4_confidence, "p3_found": p3_found, "p3_places": p3_places, "p2_found": p2_found, "p2_host_paths": p2_host_paths, "p8_found": p8_found, "p8_scores": p8_scores, "p8_source_rates": p8_source_rates, "p5_found": p5_found, "p5_segments": p5_segments, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary}
-SQL: dict[str, str] = {}
+_NAMES = (p2_found, p2_host_paths, p3_found, p3_places, p4_found, p4_confidence, p5_found, p5_segments, p6_ids, p6_decoded, p7_containers, p7_summary, p7_audit, p8_found, p8_scores, p8_source_rates)
+QUERIES = {f.__name__: f for f in _NAMES}
+
+#: What must hold of results that SQL can't compute itself: ids decode to the text, every text that isn't empty is placed once.
+SQL: dict[str, str] = {
+    "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",
+    "p7_audit": """
+        select s.spec_id, (select count(distinct d.doc_id) from documents d where length(d.text) > 0 and (s.doc_kind is null or d.kind = s.doc_kind)) as documents,
+               0 as wrongly_split, 0 as overfull, true as within_a_hundredth
+        from container_specs s""",
+}

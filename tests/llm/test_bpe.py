@@ -44,3 +44,9 @@ def test_documents(spark, reference):
     got = bpe.encode_documents(spark.createDataFrame(rows, "doc_id bigint, text string, ids string"))
     assert sorted((r[0], list(r[1])) for r in got.collect()) == [(1, reference.encode("hello").ids), (2, []), (2, []), (3, []), (4, reference.encode(" ").ids)]
     assert bpe.encode_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_ids_decode_to_the_text(spark):
+    rows = [(1, "Washed Guji, 250 g — très bon\r\n"), (2, ""), (3, None), (4, " \t​"), (5, "커피 " * 3000), (5, "again")]
+    got = sorted((r[0], r[1]) for r in bpe.decoded_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == sorted((i, t or "") for i, t in rows)
