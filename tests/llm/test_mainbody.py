@@ -70,3 +70,31 @@ def test_long_page(spark):
 def test_names():
     assert M.page_names("https://a.example/products/caf%C3%A9-1", "Café | X") == {"cafe", "cafe1"}
     assert M.page_names(None, None) == set()
+
+
+def test_title_that_is_not_the_heading(spark):
+    page = "<html><head><title>Our best Kenya lot this year | Shop</title></head><body>\n<nav>\n<a href=\"/\">Home</a>\n</nav>\n<main>\n<h1>Kenya Kiambu AA</h1>\n<p>Sweet and long, a coffee for the morning.</p>\n</main>\n<footer>\n<p>All rights reserved. We have roasted since the early days of this harbour, and we still do.</p>\n</footer>\n</body></html>"
+    assert lines(spark, [(1, "https://a.example/p/77", 200, page, None)]) == {1: [6, 7]}
+
+
+def test_page_without_line_ends(spark):
+    one = NAMED.replace("\n", " ")
+    found = {c[0]: c for c in M.containers("https://a.example/products/kenya-aa", one)}
+    assert found[">div.rte"][3] and not any("rights" in t or "Home" in t for t in found[">div.rte"][6])
+    assert lines(spark, [(1, "https://a.example/products/kenya-aa", 200, one, None)]) == {1: [1]}
+    two = "<div class=\"nav\"><div><a href=\"/\">Home</a></div><div>Free shipping.</div></div><div class=\"foot\"><p>All rights.</p></div>\n" + one
+    assert lines(spark, [(1, "https://a.example/products/kenya-aa", 200, two, None)]) == {1: [2]}
+
+
+def test_one_vote_a_page(spark):
+    long = NAMED.replace("rte", "story").replace("with a", "very long words of praise. " * 400)
+    rows = [(i, "https://a.example/products/kenya-aa", 200, NAMED, None) for i in range(3)] + [(9, "https://a.example/products/kenya-aa", 200, long, None)]
+    df = spark.createDataFrame([(*r, "x", 1.0) for r in rows], SCHEMA)
+    assert [(r["winner"], r["specific"]) for r in M.host_paths(M.page_containers(df)).collect()] == [(">div.rte", True)]
+
+
+def test_errors_are_learned_from_pages_of_error_statuses(spark):
+    gone = "<main>\n<h1>Sivua ei ole</h1>\n<p>Palaa etusivulle ja jatka siitä.</p>\n</main>"
+    rows = [(i, f"https://h{i}.example/products/x-{i}", 404, gone, None) for i in range(2)]
+    rows += [(5, "https://a.example/products/y", 200, gone, None), (6, "https://a.example/products/z", 200, gone.replace("Palaa", "Maista").replace("Sivua", "Kahvia"), None)]
+    assert lines(spark, rows) == {6: [2, 3]}
