@@ -23,12 +23,16 @@ from tamis.session import broadcast_if_small, checkpoint
 
 #: Log likelihood ratios of what two records say; the prior is that of a pair that shares a key.
 PRIOR = -4.0
-NAME = {"same": 5.0, "slip": 4.0, "slips": 2.5, "part": 1.0, "other": -3.0}
+NAME = {"same": 5.0, "alias": 4.5, "short": 4.0, "slip": 4.0, "slips": 2.5, "part": 1.0, "other": -3.0}
 SITE = {"same": 7.0, "shop": 5.0, "other": -5.0, "unknown": 0.0}
 COUNTRY = {"same": 1.5, "other": -9.0, "unknown": 0.0}
 REGION = {"same": 2.0, "other": -5.0, "unknown": 0.0}
-#: How much likelier than not at all a second record of one list is for an entity; rounds, and the change at which they end.
-TWICE, ROUNDS, STILL = 0.3, 12, 1e-3
+#: What a slip loses where another candidate bears the very name and nothing speaks against it: whoever writes a firm's name right
+#: hasn't meant another.
+BESIDE = 3.0
+#: How much likelier than not at all a second record of one list is for an entity; most rounds, and the change below which a
+#: message stands still; log odds up to which a pair only weighs upon others without taking part in the exchange.
+TWICE, ROUNDS, STILL, WEAK = 0.3, 100, 1e-3, -5.0
 #: Names on a site from which it counts as shared, and entities under a key, or of equal odds for a record, beyond which they are counted, not paired one by one.
 SHARED, CROWD = 20, 50
 
@@ -105,7 +109,7 @@ def profiles(rows: DataFrame, key: str, aliases: str | None, listed: str | None)
             for i, name, url, country, region, extra, of in zip(*(pdf[c] for c in ("id", "name", "url", "country", "region", "aliases", "listed"))):
                 text = lambda x: x if isinstance(x, str) else None
                 host, path = site(text(url))
-                others = sorted({c for a in (extra if extra is not None else []) if len(c := name_core(text(a))) > 5})
+                others = sorted({c for a in (extra if extra is not None else []) if len(c := name_core(text(a))) > 1})
                 out.append((i, text(of) or "", name_core(text(name)), name_bag(text(name)), host, bare_host(host), host_core(host), path.removeprefix("the"), country_code(text(country)) or "", fold(text(region)).strip(), others))
             yield pd.DataFrame(out, columns=["id", "listed", "core", "bag", "host", "bare", "from_host", "path", "country", "region", "others"])
 
@@ -117,13 +121,20 @@ def profiles(rows: DataFrame, key: str, aliases: str | None, listed: str | None)
 
 
 def _keys(e: DataFrame, d: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(id, k) of entities and of directory records, a row for each key."""
-    key = lambda kind, *cols: F.concat_ws("|", F.lit(kind), *cols)
+    """(id, k, bare) of entities and of directory records, a row for each key; bare is the site of keys that are sites.
+
+    Names of up to three letters are keys as they are, longer ones with one letter left out as well. Keys are hashes: whoever
+    meets by a clash is told apart by the evidence.
+    """
+    key = lambda kind, *cols: F.xxhash64(F.lit(kind), *cols)
 
     def keyed(t: DataFrame, names: Column) -> DataFrame:
-        by_name = t.withColumn("name", F.explode(F.array_distinct(names))).filter(F.length("name") > 3).withColumn("slip", F.explode(slips(F.col("name")))).select("id", key("n", "slip").alias("k"))
-        by_site = t.filter("host != '' and not shared").select("id", key("h", "bare").alias("k"))
-        by_shop = t.filter("shared and path != ''").select("id", key("s", "host", "path").alias("k"))
+        name = F.col("name")
+        spelled = F.when(F.length(name) > 3, slips(name)).otherwise(F.array(F.concat(F.lit("="), name)))
+        none = F.lit(None).cast("string").alias("bare")
+        by_name = t.withColumn("name", F.explode(F.array_distinct(names))).filter("name != '' and name != '#'").withColumn("slip", F.explode(spelled)).select("id", key("n", "slip").alias("k"), none)
+        by_site = t.filter("host != '' and not shared").select("id", key("h", "bare").alias("k"), "bare")
+        by_shop = t.filter("shared and path != ''").select("id", key("s", "host", "path").alias("k"), none)
         return by_name.unionByName(by_site).unionByName(by_shop).distinct()
 
     every = F.array(F.col("core"), F.col("bag"), F.when(~F.col("shared"), F.col("from_host")), F.when(F.col("shared"), F.col("path")))
@@ -139,19 +150,19 @@ def candidates(e: DataFrame, d: DataFrame) -> tuple[DataFrame, DataFrame]:
     These and the odds below one have no pair, but count against the record by their sum.
     """
     ek, dk = _keys(e, d)
-    crowd = broadcast_if_small(ek.groupBy("k").agg(F.count("*").alias("m")).filter(F.col("m") > CROWD).select("k"))
-    direct = ek.join(crowd, "k", "left_anti").withColumnRenamed("id", "e").join(dk.join(crowd, "k", "left_anti").withColumnRenamed("id", "d"), "k").select("e", "d").distinct()
+    crowd = broadcast_if_small(checkpoint(ek.groupBy("k").agg(F.count("*").alias("m")).filter(F.col("m") > CROWD).select("k")))
+    direct = ek.join(crowd, "k", "left_anti").select(F.col("id").alias("e"), "k").join(dk.join(crowd, "k", "left_anti").select(F.col("id").alias("d"), "k"), "k").select("e", "d").distinct()
+    direct = checkpoint(direct)
 
     # an own site that a record has as well is a key; any other is another site, whichever it is
     own, shop = (F.col("host") != "") & ~F.col("shared"), F.when(F.col("shared"), F.col("host"))
     alike = F.xxhash64("core", "bag", own, shop, F.when(F.col("shared"), F.col("path")), "country", "region")
     kinds = e.select("id", alike.alias("kind"))
     members = checkpoint(ek.join(crowd, "k", "left_semi").join(kinds, "id"))
-    groups = members.groupBy("k", "kind").agg(F.count("*").alias("m"), F.min("id").alias("one"))
-    groups = groups.withColumn("bare", F.when(F.startswith("k", F.lit("h|")), F.substr("k", F.lit(3))).otherwise(""))
+    groups = members.groupBy("k", "kind").agg(F.count("*").alias("m"), F.min("id").alias("one"), F.coalesce(F.max("bare"), F.lit("")).alias("bare"))
     # a group that shares several keys with a record is met once, where most of it are
-    asked = dk.join(crowd, "k", "left_semi").join(groups, "k").groupBy(F.col("id").alias("d"), "kind", "bare").agg(F.max(F.struct("m", "k", "one")).alias("g")).select("d", "kind", "bare", "g.*")
-    asked = checkpoint(asked.withColumn("e", F.concat_ws("|", "kind", "bare")))
+    asked = dk.drop("bare").join(crowd, "k", "left_semi").join(groups, "k").groupBy(F.col("id").alias("d"), "kind", "bare").agg(F.max(F.struct("m", "k", "one")).alias("g")).select("d", "kind", "bare", "g.*")
+    asked = checkpoint(asked.withColumn("e", F.xxhash64("kind", "bare")))
     faces = asked.select("one", F.col("bare").alias("face"), "e").distinct().dropDuplicates(["e"]).join(e.withColumnRenamed("id", "one"), "one")
     faces = faces.withColumn("bare", F.when(F.col("face") != "", F.col("face")).otherwise("|")).withColumn("id", F.col("e")).select(*e.columns)
     judged = asked.join(evidence(asked.select("e", "d"), faces, d).select("e", "d", "u"), ["e", "d"])
@@ -160,79 +171,115 @@ def candidates(e: DataFrame, d: DataFrame) -> tuple[DataFrame, DataFrame]:
     judged = judged.join(paired, ["d", "kind"], "left").withColumn("m", F.greatest(F.col("m") - F.coalesce("had", F.lit(0)), F.lit(0)))
     judged = judged.withColumn("ties", F.sum("m").over(Window.partitionBy("d", "u")))
     judged = checkpoint(judged.select("d", "k", "kind", "m", "u", ((F.col("u") > 0) & (F.col("ties") <= CROWD)).alias("pair")))
-    pairs = judged.filter("pair and m > 0").select("d", "k", "kind").join(members.withColumnRenamed("id", "e"), ["k", "kind"]).select("e", "d")
+    pairs = judged.filter("pair and m > 0").select("d", "k", "kind").join(members.select(F.col("id").alias("e"), "k", "kind"), ["k", "kind"]).select("e", "d")
     return direct.unionByName(pairs).distinct(), judged.filter("not pair").groupBy("d").agg(F.sum(F.col("m") * F.exp(F.least("u", F.lit(40.0)))).alias("rest"))
 
 
 def evidence(pairs: DataFrame, e: DataFrame, d: DataFrame) -> DataFrame:
-    """e, d, listed, u: the log odds of each pair on its own."""
-    left = e.select(*[F.col(c).alias("e_" + c) for c in e.columns])
+    """e, d, listed, u, exact, near: the log odds of each pair on its own, and whether it bears the very name or one that slips."""
+    left = e.select(*[F.col(c).alias("e_" + c) for c in e.columns if c != "listed"])
     right = d.select(*[F.col(c).alias("d_" + c) for c in d.columns])
     p = pairs.join(left, F.col("e") == F.col("e_id")).join(right, F.col("d") == F.col("d_id"))
-    said = F.array_distinct(F.filter(F.concat(F.array(F.col("d_core"), F.col("d_bag"), F.when(F.col("d_shared"), F.col("d_path")), F.when(~F.col("d_shared"), F.col("d_from_host"))), "d_others"), lambda x: x.isNotNull() & (F.length(x) > 3)))
-    known = F.array_distinct(F.filter(F.array(F.col("e_core"), F.col("e_bag"), F.when(F.col("e_shared"), F.col("e_path"))), lambda x: x.isNotNull() & (F.length(x) > 3)))
+    some = lambda names: F.array_distinct(F.filter(names, lambda x: x.isNotNull() & ~x.isin("", "#")))
+    long = lambda names: F.filter(names, lambda x: F.length(x) > 3)
+    all_said = some(F.concat(F.array(F.col("d_core"), F.col("d_bag"), F.when(F.col("d_shared"), F.col("d_path")), F.when(~F.col("d_shared"), F.col("d_from_host"))), "d_others"))
+    all_known = some(F.array(F.col("e_core"), F.col("e_bag"), F.when(F.col("e_shared"), F.col("e_path"))))
+    said, known = long(all_said), long(all_known)
     anyof = lambda test: F.exists(said, lambda x: F.exists(known, lambda y: test(x, y)))
-    name = (
-        F.when((F.col("d_core") == F.col("e_core")) & (F.col("e_core") != ""), NAME["same"])
-        .when(F.arrays_overlap(said, known), NAME["same"] - 0.5)
-        .when(anyof(one_slip), NAME["slip"])
-        .when(anyof(lambda x, y: (F.levenshtein(x, y) <= 2) & (F.length(y) > 8)), NAME["slips"])
-        .when((F.length("d_core") > 4) & (F.startswith("e_core", F.col("d_core")) | F.endswith("e_core", F.col("d_core"))), NAME["part"])
-        .otherwise(NAME["other"])
+    kind = (
+        F.when((F.col("d_core") == F.col("e_core")) & (F.col("e_core") != ""), "same")
+        .when(F.arrays_overlap(said, known), "alias")
+        .when(F.arrays_overlap(all_said, all_known), "short")
+        .when(anyof(one_slip), "slip")
+        .when(anyof(lambda x, y: (F.levenshtein(x, y) <= 2) & (F.length(y) > 8)), "slips")
+        .when((F.length("d_core") > 4) & (F.startswith("e_core", F.col("d_core")) | F.endswith("e_core", F.col("d_core"))), "part")
+        .otherwise("other")
     )
     # a record whose shop is spelled as its name hasn't slipped in the name
-    meant = F.col("d_shared") & (F.col("d_path") == F.col("d_core")) & ~F.arrays_overlap(said, known)
-    name = F.when(meant, NAME["other"]).otherwise(name)
+    meant = F.col("d_shared") & (F.col("d_path") == F.col("d_core")) & ~F.arrays_overlap(all_said, all_known)
+    kind = F.when(meant, "other").otherwise(kind)
     own = (F.col("e_host") != "") & (F.col("d_host") != "") & ~F.col("e_shared") & ~F.col("d_shared")
     shops = F.col("e_shared") & F.col("d_shared") & (F.col("e_host") == F.col("d_host")) & (F.col("e_path") != "")
     of = lambda test, weights: F.when(test, weights["same"]).otherwise(weights["other"])
     where = F.when(own, of(F.col("e_bare") == F.col("d_bare"), SITE)).when(shops, F.when(F.col("e_path") == F.col("d_path"), SITE["shop"]).otherwise(SITE["unknown"])).otherwise(SITE["unknown"])
     country = F.when((F.col("e_country") != "") & (F.col("d_country") != ""), of(F.col("e_country") == F.col("d_country"), COUNTRY)).otherwise(COUNTRY["unknown"])
     region = F.when((F.col("e_region") != "") & (F.col("d_region") != ""), of(F.col("e_region") == F.col("d_region"), REGION)).otherwise(REGION["unknown"])
-    return p.select("e", "d", F.col("d_listed").alias("listed"), (F.lit(PRIOR) + name + where + country + region).alias("u"))
+    weigh = F.create_map(*[F.lit(x) for item in NAME.items() for x in item])
+    return p.select("e", "d", F.col("d_listed").alias("listed"), kind.alias("kind"), (where + country + region).alias("more")).select(
+        "e", "d", "listed", (F.lit(PRIOR) + weigh[F.col("kind")] + F.col("more")).alias("u"), F.col("kind").isin("same", "alias").alias("exact"), F.col("kind").isin("slip", "slips").alias("near")
+    )
+
+
+def beside_exact(pairs: DataFrame) -> DataFrame:
+    """e, d, listed, u: slips of a record lose BESIDE where another of its pairs is exact and likelier than not on its own."""
+    firm = pairs.filter("exact and u > 0").select("d").distinct().withColumn("firm", F.lit(True))
+    return pairs.join(firm, "d", "left").select("e", "d", "listed", (F.col("u") - F.when(F.col("near") & F.coalesce("firm", F.lit(False)), BESIDE).otherwise(0.0)).alias("u"))
+
+
+def _odds(c: Column) -> Column:
+    return F.exp(F.least(c, F.lit(40.0)))
 
 
 def propagate(pairs: DataFrame) -> DataFrame:
-    """e, d, confidence: the marginals of ``pairs`` (e, d, listed, u, rest) under the two kinds of factors.
+    """e, d, confidence, settled: the marginals of ``pairs`` (e, d, listed, u, rest) under the two kinds of factors.
 
-    ``rest`` are the odds of rivals without a pair, 0 if left out.
+    ``rest`` are the odds of rivals without a pair, 0 if left out. Pairs up to WEAK send no messages of their own; their odds are
+    part of their record's rest. Pairs that have neither record nor entity in common with another have nothing to exchange. All
+    others exchange messages until none moves by STILL; settled is false for those that still moved after ROUNDS.
     """
     if "rest" not in pairs.columns:
         pairs = pairs.withColumn("rest", F.lit(0.0))
-    odds = lambda c: F.exp(F.least(c, F.lit(40.0)))
-    p = checkpoint(pairs.withColumns({"a": F.lit(0.0), "b": F.lit(0.0)}))
-    for _ in range(ROUNDS):
-        to_d = p.groupBy("d").agg(F.sum(odds(F.col("u") + F.col("b"))).alias("sd"))
-        p1 = p.join(to_d, "d").withColumn("a1", -F.log1p(F.col("rest") + F.greatest(F.col("sd") - odds(F.col("u") + F.col("b")), F.lit(0.0)))).drop("sd")
-        to_e = p1.groupBy("e", "listed").agg(F.sum(odds(F.col("u") + F.col("a1"))).alias("se"))
-        p1 = p1.join(to_e, ["e", "listed"]).withColumn("se", F.greatest(F.col("se") - odds(F.col("u") + F.col("a1")), F.lit(0.0)))
+    pairs = checkpoint(pairs.select("e", "d", "listed", "u", "rest"))
+    weak = pairs.filter(F.col("u") <= WEAK)
+    light = weak.groupBy("d").agg(F.sum(F.exp("u")).alias("light"))
+    strong = pairs.filter(F.col("u") > WEAK).join(light, "d", "left").withColumn("rest", F.col("rest") + F.coalesce("light", F.lit(0.0))).drop("light")
+    by_d = strong.groupBy("d").agg(F.count("*").alias("nd"))
+    by_e = strong.groupBy("e", "listed").agg(F.count("*").alias("ne"))
+    strong = checkpoint(strong.join(by_d, "d").join(by_e, ["e", "listed"]).withColumn("alone", (F.col("nd") == 1) & (F.col("ne") == 1)).drop("nd", "ne"))
+    done = strong.filter("alone").select("e", "d", "listed", "u", "rest", (-F.log1p("rest")).alias("a"), F.lit(0.0).alias("b"), F.lit(True).alias("settled"))
+    p = strong.filter("not alone").select("e", "d", "listed", "u", "rest", F.lit(0.0).alias("a"), F.lit(0.0).alias("b"), F.lit(False).alias("settled"))
+    for n in range(ROUNDS):
+        to_d = p.groupBy("d").agg(F.sum(_odds(F.col("u") + F.col("b"))).alias("sd"))
+        p1 = p.join(to_d, "d").withColumn("a1", -F.log1p(F.col("rest") + F.greatest(F.col("sd") - _odds(F.col("u") + F.col("b")), F.lit(0.0)))).drop("sd")
+        to_e = p1.groupBy("e", "listed").agg(F.sum(_odds(F.col("u") + F.col("a1"))).alias("se"))
+        p1 = p1.join(to_e, ["e", "listed"]).withColumn("se", F.greatest(F.col("se") - _odds(F.col("u") + F.col("a1")), F.lit(0.0)))
         p1 = p1.withColumn("b1", 0.5 * F.col("b") + 0.5 * F.log((1 + TWICE * F.col("se")) / (1 + F.col("se"))))
-        p1 = checkpoint(p1.select("e", "d", "listed", "u", "rest", F.col("a1").alias("a"), F.col("b1").alias("b"), F.greatest(F.abs(F.col("a1") - F.col("a")), F.abs(F.col("b1") - F.col("b"))).alias("moved")))
-        still = (p1.agg(F.max("moved")).first()[0] or 0.0) < STILL
-        p = p1.drop("moved")
-        if still:
-            break
-    return p.select("e", "d", (1 / (1 + F.exp(-(F.col("u") + F.col("a") + F.col("b"))))).alias("confidence"))
+        moved = F.greatest(F.abs(F.col("a1") - F.col("a")), F.abs(F.col("b1") - F.col("b")))
+        p = p1.select("e", "d", "listed", "u", "rest", F.col("a1").alias("a"), F.col("b1").alias("b"), (moved < STILL).alias("settled"))
+        if n % 3 == 2:  # a few rounds a job
+            p = checkpoint(p)
+            if p.filter("not settled").isEmpty():
+                break
+    s = done.unionByName(p)
+    # what a weak pair is left with by the others of its record and its entity
+    at_d = s.groupBy("d").agg(F.sum(_odds(F.col("u") + F.col("b"))).alias("sd"))
+    at_e = s.groupBy("e", "listed").agg(F.sum(_odds(F.col("u") + F.col("a"))).alias("se"))
+    w = weak.join(light, "d").join(at_d, "d", "left").join(at_e, ["e", "listed"], "left").na.fill(0.0, ["sd", "se"])
+    w = w.withColumn("a", -F.log1p(F.col("rest") + F.greatest(F.col("light") - F.exp("u"), F.lit(0.0)) + F.col("sd"))).withColumn("b", F.log((1 + TWICE * F.col("se")) / (1 + F.col("se")))).withColumn("settled", F.lit(True))
+    all_pairs = s.unionByName(w.select(*s.columns))
+    return all_pairs.select("e", "d", (1 / (1 + F.exp(-(F.col("u") + F.col("a") + F.col("b"))))).alias("confidence"), "settled")
 
 
 def matched(entities: DataFrame, directory: DataFrame) -> DataFrame:
-    """entity_id, directory_id, confidence of every candidate pair.
+    """entity_id, directory_id, confidence, settled of every candidate pair; settled is false where messages still moved.
 
     A missing attribute is no evidence. Records with a null id are left out, repeated ids count once. A name that consists of
     trade words only is no key and no evidence for a name. Of the tables only id, name, website_url, country and region, and of
     the directory aliases and source_profile, are read.
     """
     e, d = profiles(entities, "id", None, None), profiles(directory, "directory_id", "aliases", "source_profile")
-    e, d = checkpoint(e), checkpoint(d)
+    # numbers stand for the ids from here on, which are long
+    e, d = (checkpoint(t.withColumnRenamed("id", "own_id").withColumn("id", F.monotonically_increasing_id())) for t in (e, d))
     # a site is shared if very many names are on it, or if two have a page there that is called as they are
     named = F.count_distinct(F.when((F.col("path") == F.col("core")) & (F.col("core") != ""), F.col("core")))
     hosts = e.select("host", "core", "path").unionByName(d.select("host", "core", "path")).filter("host != ''").distinct().groupBy("host").agg(F.count_distinct("core").alias("m"), named.alias("named"))
     hosts = hosts.filter((F.col("m") >= SHARED) | (F.col("named") >= 2)).select("host", F.lit(True).alias("shared"))
-    hosts = broadcast_if_small(hosts)
-    e, d = (checkpoint(t.join(hosts, "host", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))) for t in (e, d))
+    hosts = broadcast_if_small(checkpoint(hosts))
+    known, listed = e.select(F.col("id").alias("e"), F.col("own_id").alias("entity_id")), d.select(F.col("id").alias("d"), F.col("own_id").alias("directory_id"))
+    e, d = (checkpoint(t.drop("own_id").join(hosts, "host", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))) for t in (e, d))
     pairs, rest = candidates(e, d)
-    scored = evidence(pairs, e, d).join(rest, "d", "left").withColumn("rest", F.coalesce("rest", F.lit(0.0)))
-    return propagate(scored).select(F.col("e").alias("entity_id"), F.col("d").alias("directory_id"), "confidence")
+    scored = beside_exact(checkpoint(evidence(pairs, e, d))).join(rest, "d", "left").withColumn("rest", F.coalesce("rest", F.lit(0.0)))
+    return propagate(scored).join(known, "e").join(listed, "d").select("entity_id", "directory_id", "confidence", "settled")
 
 
 def found(entities: DataFrame, directory: DataFrame, least: float = 0.5) -> DataFrame:

@@ -93,3 +93,42 @@ def test_keys():
     assert M.name_bag("Holperosa-Pinnacle") == M.name_bag("PINNACLE AND HOLPEROSA Café") and M.name_bag("One") == ""
     assert M.site("HTTPS://WWW.A.EXAMPLE./shops/x-y/?q=1") == ("a.example", "xy") and M.site(None) == ("", "") and M.site("http://[bad") == ("", "")
     assert M.host_core("shop.thefernwegroasters.example") == "fernweg"
+
+
+def test_short_names_and_exact_ones(spark):
+    e = [("sey", "Sey Coffee", None, "US", "New York"), ("ona", "ONA Coffee", None, "AU", None), ("ko", "콩", None, "KR", "Seoul"), ("blue", "Bluebird Coffee", None, "US", None)]
+    e += [(f"b{i}", f"Bluebir{c} Coffee", None, "US", None) for i, c in enumerate("abcefghijk")]
+    d = [("d1", "Sey Coffee", None, None, "US", "New York", "a"), ("d2", "Bluebird", None, None, "US", None, "a"), ("d3", "콩 커피", None, None, "KR", "Seoul", "a"), ("d4", "Some Name", ["ONA"], "ona.example", "AU", "ACT", "a")]
+    ee, dd = tables(spark, e, d)
+    assert {(r["entity_id"], r["directory_id"]) for r in M.found(ee, dd).collect()} == {("sey", "d1"), ("blue", "d2"), ("ko", "d3"), ("ona", "d4")}
+
+
+def test_crowd_with_one_in_another_country(spark):
+    e = [(f"c{i}", "Daily Grind", None, "US", None) for i in range(51)] + [("kr", "Daily Grind", None, "KR", None)]
+    ee, dd = tables(spark, e, [("d1", "Daily Grind", None, None, "KR", None, "a")])
+    assert [(r["entity_id"], r["directory_id"]) for r in M.found(ee, dd).collect()] == [("kr", "d1")]
+
+
+def test_recall_on_altered_names(spark):
+    import random
+
+    r = random.Random(4)
+    syl = ["ka", "ro", "ven", "til", "mor", "des", "lun", "pra", "gos", "bel", "hin", "wex", "fal", "nor"]
+    names = sorted({"".join(r.choice(syl) for _ in range(4)) + " " + "".join(r.choice(syl) for _ in range(3)) for _ in range(400)})
+    e = [(f"e{i}", f"{n.title()} Coffee", f"https://{n.replace(' ', '')}.example", r.choice(["US", "DE", "KR"]), None) for i, n in enumerate(names)]
+    d = []
+    for i, n in enumerate(names):
+        k = r.randrange(len(n) - 1)
+        spelled = r.choice([n, n[:k] + n[k + 1 :], n.upper(), " ".join(reversed(n.split())), "The " + n])
+        d.append((f"d{i}", spelled + r.choice([" Roasters", "", " Kaffee"]), None, e[i][2] if r.random() < 0.4 else None, e[i][3] if r.random() < 0.8 else None, None, "a"))
+    ee, dd = tables(spark, e, d)
+    got = {(x["entity_id"], x["directory_id"]) for x in M.found(ee, dd).collect()}
+    right = {(f"e{i}", f"d{i}") for i in range(len(names))}
+    assert len(got & right) >= 0.95 * len(right) and len(got & right) >= 0.98 * len(got)
+
+
+def test_weak_pairs_and_settling(spark):
+    pairs = [("e1", "d1", "a", 3.0), ("e2", "d1", "a", -6.0), ("e3", "d1", "a", -9.0), ("e1", "d2", "a", 2.0), ("e4", "d2", "a", 2.5), ("e4", "d3", "a", 1.0)]
+    got = {(r["e"], r["d"]): (r["confidence"], r["settled"]) for r in M.propagate(spark.createDataFrame(pairs, "e string, d string, listed string, u double")).collect()}
+    for k, v in exact(pairs).items():
+        assert got[k][0] == pytest.approx(v, abs=0.03) and got[k][1], k
