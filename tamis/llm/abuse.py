@@ -9,6 +9,8 @@ model is trained on the corrected targets.
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import unicodedata
 import zlib
 
@@ -17,13 +19,12 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tamis.llm import language
 
 CATEGORIES = ("abusive", "hateful", "sexual")
-#: Bound of the training sample, and the model's shape.
-TRAIN_DOCS, FOLDS, EPOCHS, STEPS = 12_000, 3, 12, 2_500
+#: Bounds of the training sample (documents, and characters from which a document is none of them), and the model's shape.
+TRAIN_DOCS, TRAIN_CHARS, FOLDS, EPOCHS, STEPS = 12_000, 20_000, 3, 12, 2_500
 #: Logits by which a held-out prediction may move a target.
 SOFTEN = 2.0
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 15, 48, (1, 2, 3), 32
@@ -109,12 +110,15 @@ class TextCnn:
         pooled, places = [], []
         ends = np.r_[starts[1:], len(seq)]
         n = len(seq)
+        # all filters' parts at once: one product instead of one for each width and offset
+        parts = x @ np.concatenate([self.p[f"f{k}"][j * DIM : (j + 1) * DIM] for k in WIDTHS for j in range(k)], axis=1)
+        nothing, at = seq == 0, 0
         for k in WIDTHS:
-            f = self.p[f"f{k}"]
-            h = x @ f[:DIM]
+            h = parts[:, at : at + FILTERS].copy()
             for j in range(1, k):
-                h[: n - j] += x[j:] @ f[j * DIM : (j + 1) * DIM]
-            h[seq == 0] = -1e9  # a window that begins between sentences would reach into the next one
+                h[: n - j] += parts[j:, at + j * FILTERS : at + (j + 1) * FILTERS]
+            at += k * FILTERS
+            h[nothing] = -1e9  # a window that begins between sentences would reach into the next one
             m = np.maximum.reduceat(h, starts, axis=0)
             if where:
                 places.append(np.stack([starts[i] + h[starts[i] : ends[i]].argmax(axis=0) for i in range(len(starts))]))
@@ -172,8 +176,8 @@ class TextCnn:
                 d = (1 / (1 + np.exp(-z)) - targets[ids]) / len(ids)
                 g = {"w": (pooled * keep).T @ d, "b": d.sum(axis=0)}
                 back = (d @ self.p["w"].T) * keep * (pooled > 0)
-                ge: dict = {}
                 rows, grads = [], []
+                live = [np.nonzero(back[:, i * FILTERS : (i + 1) * FILTERS]) for i in range(len(WIDTHS))]
                 for i, k in enumerate(WIDTHS):
                     q = back[:, i * FILTERS : (i + 1) * FILTERS]
                     at = places[i]
@@ -181,14 +185,18 @@ class TextCnn:
                     for j in range(k):
                         tok = seq[np.minimum(at + j, len(seq) - 1)]
                         gf[j * DIM : (j + 1) * DIM] = np.einsum("bf,bfd->df", q, self.p["e"][tok])
-                        part = q[:, :, None] * self.p[f"f{k}"][j * DIM : (j + 1) * DIM].T[None]
-                        rows.append(tok.ravel())
-                        grads.append(part.reshape(-1, DIM))
+                        doc, of = live[i]
+                        rows.append(tok[doc, of])
+                        grads.append(q[doc, of, None] * self.p[f"f{k}"][j * DIM : (j + 1) * DIM].T[of])
                     g[f"f{k}"], g[f"g{k}"] = gf, q.sum(axis=0)
                 rows, grads = np.concatenate(rows), np.concatenate(grads)
-                u, inv = np.unique(rows, return_inverse=True)
-                ge = np.zeros((len(u), DIM), np.float32)
-                np.add.at(ge, inv, grads)
+                if len(rows):
+                    by = np.argsort(rows, kind="stable")
+                    rows, grads = rows[by], grads[by]
+                    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+                    u, ge = rows[first], np.add.reduceat(grads, first, axis=0)
+                else:
+                    u, ge = rows, grads
                 c1, c2 = 1 - 0.9**step, 1 - 0.999**step
                 for k, v in g.items():
                     v = v + decay * self.p[k]
@@ -206,17 +214,19 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, limit: int = TRAIN_DOCS) -
     """(text, raters, weight, mean rating of each category) of at most ``limit`` rated documents, in the order of a hash.
 
     Half of the bound is for documents that some rater found something in, since those are few and tell most; the weight of a
-    document is how many of its kind one stands for.
+    document is how many of its kind one stands for. Documents of TRAIN_CHARS characters or more are no examples. Only the
+    chosen ids are sent to where the documents are.
     """
     mean = [F.avg(F.col(c).cast("double")).alias(c) for c in CATEGORIES]
     rated = ratings.groupBy("doc_id").agg(F.count("*").alias("n"), *mean).filter(" and ".join(f"{c} is not null" for c in CATEGORIES)).withColumn("any", F.greatest(*CATEGORIES) > 0)
     size = {r[0]: r[1] for r in rated.groupBy("any").agg(F.count("*")).collect()}
     room = {True: max(limit // 2, limit - size.get(False, 0)), False: max(limit // 2, limit - size.get(True, 0))}
     parts = [rated.filter(F.col("any") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(room[k]) for k in (True, False)]
-    first = parts[0].unionByName(parts[1])
-    rows = docs.select("doc_id", "text").filter("length(trim(text)) > 0").join(first, "doc_id").select("doc_id", "text", "n", "any", *CATEGORIES).collect()
+    first = F.broadcast(parts[0].unionByName(parts[1]))  # at most ``limit`` rows
+    texts = docs.select("doc_id", "text").filter((F.length(F.trim("text")) > 0) & (F.length("text") < TRAIN_CHARS))
+    rows = texts.join(first, "doc_id").select("doc_id", "text", "n", "any", *CATEGORIES).collect()
     weight = {k: max(1.0, size.get(k, 0) / room[k]) for k in (True, False)}
-    return [(r["text"], r["n"], weight[r["any"]], *(r[c] for c in CATEGORIES)) for r in sorted(rows, key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))]
+    return [(r["text"], r["n"], weight[r["any"]], *(r[c] for c in CATEGORIES)) for r in sorted(rows, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["text"]))]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -251,89 +261,153 @@ def thresholds(logits: np.ndarray, targets: np.ndarray, langs: np.ndarray, weigh
     return out
 
 
-def train(spark: SparkSession, docs: DataFrame, ratings: DataFrame, trees: language.ContextTrees):
-    """(model, thresholds) from the rated sample."""
-    sample = rated_sample(docs, ratings)
-    reader = Reader()
-    read = [reader.document(t) for t, *_ in sample]
+class Model:
+    """What scoring needs: the context trees, the network and the thresholds. ``save`` and ``load`` keep it as one file."""
+
+    def __init__(self, trees: language.ContextTrees, net: TextCnn, limits: dict[str, np.ndarray]):
+        self.trees, self.net, self.limits = trees, net, limits
+        every = np.array(list(limits.values()))
+        self.least, self.most = every.min(axis=0), every.max(axis=0)
+
+    def save(self, path: str) -> None:
+        with open(path, "wb") as f:
+            pickle.dump(self, f)
+
+    @staticmethod
+    def load(path: str) -> Model:
+        with open(path, "rb") as f:
+            return pickle.load(f)
+
+
+#: Models of this session by their training sample, so that scores, flags and rates of the same ratings train once.
+_MODELS: dict[str, Model] = {}
+
+
+def train(spark: SparkSession, docs: DataFrame, ratings: DataFrame) -> Model:
+    """The model of the rated sample; a sample met before in this session isn't trained on again.
+
+    A category that nobody has found in the sample is never flagged.
+    """
+    sample, examples = rated_sample(docs, ratings), language.examples(docs)
+    seal = hashlib.sha256(repr((sample, examples)).encode("utf-8", "surrogatepass")).hexdigest()
+    if seal not in _MODELS:
+        while len(_MODELS) >= 2:
+            _MODELS.pop(next(iter(_MODELS)))
+        _MODELS[seal] = _trained(spark, sample, language.grow(examples))
+    return _MODELS[seal]
+
+
+def _trained(spark: SparkSession, sample: list[tuple], trees: language.ContextTrees) -> Model:
     raters = np.array([r[1] for r in sample], np.float64)
     weights = np.array([r[2] for r in sample], np.float64)
     y = np.array([r[3:] for r in sample], np.float32).reshape(-1, len(CATEGORIES))
+    never = np.full(len(CATEGORIES), np.inf)
+    if not y.any():
+        return Model(trees, TextCnn(), {"": never})
+    reader = Reader()
+    read = [reader.document(t) for t, *_ in sample]
     langs = np.array([main_language(trees, s) for s in language.segments(trees, [r[0] for r in sample])], dtype=object)
-    if len(sample) < 20:
-        return TextCnn(), {"": np.full(len(CATEGORIES), 0.0)}
     shared = spark.sparkContext.broadcast(read)
     said = np.log((y * 0.8 + 0.1) / (0.9 - y * 0.8)) * np.minimum(raters, 3)[:, None]  # a rater errs about once in ten times
-    z = _held_out(spark, shared, y)
+    z, _ = _held_out(spark, shared, y)
     # the held-out prediction is a further witness. It may soften a target but not turn it, since it can't know a form that only
     # held-out documents have
     soft = _sigmoid(2 * said + np.clip(z, -SOFTEN, SOFTEN)).astype(np.float32)
-    again = _held_out(spark, shared, soft)
+    again, net = _held_out(spark, shared, soft, final=True)
     limits = thresholds(again, (said + np.clip(z + again, -5, 5) > 0).astype(np.float64), langs, weights)
     shared.unpersist()
-    return TextCnn(seed=3).fit(read, soft), limits
+    return Model(trees, net, {k: np.where(y.any(axis=0), v, never) for k, v in limits.items()})
+
 
+def _held_out(spark: SparkSession, shared, targets: np.ndarray, final: bool = False) -> tuple[np.ndarray, TextCnn | None]:
+    """(logits of every training document by the model of the fold that doesn't hold it, the model of all of them if ``final``).
 
-def _held_out(spark: SparkSession, shared, targets: np.ndarray) -> np.ndarray:
-    """Logits of every training document by the model of the fold that doesn't hold it; one task trains one fold."""
+    One task trains one fold, and one more the final model beside them.
+    """
     y = spark.sparkContext.broadcast(targets)
 
     def fold(batches):
         docs = shared.value
         for pdf in batches:
             for k in pdf["fold"]:
+                if k == FOLDS:
+                    net = TextCnn(seed=3).fit(docs, y.value)
+                    yield pd.DataFrame({"i": np.array([-1]), "net": [pickle.dumps(net.p)], **dict.fromkeys(CATEGORIES, 0.0)})
+                    continue
                 held = np.arange(len(docs)) % FOLDS == k
                 model = TextCnn(seed=7 + int(k)).fit([docs[i] for i in np.flatnonzero(~held)], y.value[~held])
                 at = np.flatnonzero(held)
                 z = model.logits([docs[i] for i in at])
-                yield pd.DataFrame({"i": at, **{c: z[:, n].astype(float) for n, c in enumerate(CATEGORIES)}})
-
-    folds = spark.range(0, FOLDS, 1, FOLDS).withColumnRenamed("id", "fold")
-    z = np.zeros(targets.shape, np.float64)
-    for r in folds.mapInPandas(fold, "i bigint, " + ", ".join(f"{c} double" for c in CATEGORIES)).collect():
-        z[r[0]] = r[1:]
+                yield pd.DataFrame({"i": at, "net": None, **{c: z[:, n].astype(float) for n, c in enumerate(CATEGORIES)}})
+
+    parts = FOLDS + final
+    folds = spark.range(0, parts, 1, parts).withColumnRenamed("id", "fold")
+    z, net = np.zeros(targets.shape, np.float64), None
+    for r in folds.mapInPandas(fold, "i bigint, net binary, " + ", ".join(f"{c} double" for c in CATEGORIES)).collect():
+        if r[0] < 0:
+            net = TextCnn()
+            net.p = pickle.loads(r[1])
+        else:
+            z[r[0]] = r[2:]
     y.unpersist()
-    return z
+    return z, net
 
 
 def main_language(trees: language.ContextTrees, segs: list) -> str:
     return trees.langs[max(segs, key=lambda s: s[1] - s[0])[2]] if segs else ""
 
 
-def scored(docs: DataFrame, ratings: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, ratings: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, source, main_lang, score and flag of each category, for every document; whole texts are read.
 
-    Null, empty and blank texts score 0 and have no flag. Ratings with a null in a category for all raters aren't used; with
-    fewer than 20 rated documents the model is untrained and nothing is flagged.
+    Null, empty and blank texts score 0 and have no flag. Ratings with a null in a category for all raters aren't used; a category
+    without a positive rating scores 0 and is never flagged. Without a ``model`` one is trained.
     """
     spark = docs.sparkSession
-    trees = language.train(docs)
-    model, limits = train(spark, docs, ratings, trees)
-    shared = spark.sparkContext.broadcast((trees, model, limits, ratings is not None and len(limits) > 1))
+    shared = spark.sparkContext.broadcast(model or train(spark, docs, ratings))
 
     def run(batches):
-        trees, model, limits, trained = shared.value
+        m = shared.value
         reader = Reader()
         for pdf in batches:
             texts = [x if isinstance(x, str) and x.strip() else None for x in pdf["text"]]
-            z, worded = model.text_logits(reader, texts)
-            langs = [main_language(trees, s) for s in language.segments(trees, texts)]
-            cut = np.array([limits.get(x, limits[""]) for x in langs]).reshape(-1, len(CATEGORIES))
-            live = worded[:, None] & trained
-            p = np.where(live, _sigmoid(z - cut), 0.0)
+            z, worded = m.net.text_logits(reader, texts)
+            langs = [main_language(m.trees, s) for s in language.segments(m.trees, texts)]
+            cut = np.array([m.limits.get(x, m.limits[""]) for x in langs]).reshape(-1, len(CATEGORIES))
+            p = np.where(worded[:, None], _sigmoid(z - cut), 0.0)
+            p[~np.isfinite(cut)] = 0.0
             out = pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "main_lang": langs})
             for n, c in enumerate(CATEGORIES):
-                out[f"{c}_score"], out[c] = p[:, n], live[:, 0] & (z[:, n] >= cut[:, n])
+                out[f"{c}_score"], out[c] = p[:, n], worded & (z[:, n] >= cut[:, n])
             yield out
 
     columns = ", ".join(f"{c}_score double, {c} boolean" for c in CATEGORIES)
     return docs.select("doc_id", "source", "text").mapInPandas(run, f"doc_id bigint, source string, main_lang string, {columns}")
 
 
-def found(docs: DataFrame, ratings: DataFrame) -> DataFrame:
-    """doc_id, category: one row for each category flagged in a document."""
-    flags = F.array(*[F.when(F.col(c), F.lit(c)) for c in CATEGORIES])
-    return scored(docs, ratings).select("doc_id", F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("category"))
+def found(docs: DataFrame, ratings: DataFrame, model: Model | None = None) -> DataFrame:
+    """doc_id, category: one row for each category flagged in a document; the flags of ``scored``.
+
+    Where a document lies below the thresholds of all languages, or above, its own language isn't asked.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model or train(spark, docs, ratings))
+
+    def run(batches):
+        m = shared.value
+        reader = Reader()
+        for pdf in batches:
+            texts = [x if isinstance(x, str) and x.strip() else None for x in pdf["text"]]
+            z, worded = m.net.text_logits(reader, texts)
+            open_ = np.flatnonzero(worded & ((z >= m.least) & (z < m.most)).any(axis=1))
+            cut = np.repeat(m.most[None], len(texts), axis=0)
+            segs = language.segments(m.trees, [texts[i] for i in open_])
+            for i, s in zip(open_, segs):
+                cut[i] = m.limits.get(main_language(m.trees, s), m.limits[""])
+            doc, of = np.nonzero(worded[:, None] & (z >= cut))
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[doc], "category": [CATEGORIES[c] for c in of]})
+
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, category string")
 
 
 def source_rates(docs: DataFrame, ratings: DataFrame) -> DataFrame:

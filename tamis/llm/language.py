@@ -9,6 +9,8 @@ gives the segments.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import regex
@@ -18,13 +20,17 @@ from pyspark.sql.window import Window
 
 LANGS = ("en", "de", "fr", "es", "it", "pt", "nl", "sv", "ko", "ja")
 ORDER = 4
-#: Bounds of the sample the trees are built from: documents per label, and bytes per language.
-TRAIN_DOCS, TRAIN_BYTES = 600, 150_000
+#: Bounds of the sample the trees are built from: documents per label, characters from which a document is none of them, and bytes
+#: per language.
+TRAIN_DOCS, TRAIN_CHARS, TRAIN_BYTES = 600, 5_000, 150_000
 #: Bits that a change of language costs between two sentences, and letters that make a sentence (CJK letters count thrice).
 SWITCH_BITS, SENTENCE_LETTERS = 24.0, 9
 
 _CUT = regex.compile(r"(?:[.!?…]+[\"'»”’)\]]*(?=\s)|[。！？]+[」』）]*|\n)\s*")
-_DROP = regex.compile(r"&(?:lt|gt|amp|quot|nbsp|#\d+);|</?[a-z][^<>]{0,80}>|(?<=&lt;)/?(?:br|p|b|i|em|strong|div|span)/?(?=&gt;)|https?://\S+|www\.\S+|\S+@\S+\.\S+|[#@]\w+|[\p{Latin}\p{N}._:/#-]*\p{N}[\p{Latin}\p{N}]*|[​-‏﻿­\p{Cc}\p{So}\p{Sk}\p{Co}]+")
+_DROP = regex.compile(r"&(?:lt|gt|amp|quot|nbsp|#\d+);|</?[a-z][^<>]{0,80}>|(?<=&lt;)/?(?:br|p|b|i|em|strong|div|span)/?(?=&gt;)|https?://\S+|www\.\S+|\S+@\S+\.\S+|[#@]\w+|(?<![\p{Latin}\p{N}._:/#-])[\p{Latin}\p{N}._:/#-]*\p{N}[\p{Latin}\p{N}]*|\p{N}[\p{Latin}\p{N}]*|[​-‏﻿­\p{Cc}\p{So}\p{Sk}\p{Co}]+")
+#: Whether there is anything to drop at all: most sentences have nothing, and to know that is far cheaper.
+_MAYBE_ASCII = re.compile(r"[&<@#0-9\x00-\x1f\x7f^`]|http|www\.")
+_MAYBE = regex.compile(r"[&<@#\p{N}​-‏﻿­\p{Cc}\p{So}\p{Sk}\p{Co}]|http|www\.")
 _SPACE = regex.compile(r"\s+")
 _CJK = regex.compile(r"[\p{Hangul}\p{Han}\p{Hiragana}\p{Katakana}]")
 _LETTER = regex.compile(r"\p{L}")
@@ -50,7 +56,10 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 def plain(sentence: str) -> str:
     """What of a sentence is coded: lower case, no links, numbers, symbols or invisible characters, single blanks."""
-    return " " + _SPACE.sub(" ", _DROP.sub(" ", sentence.lower())).strip() + " "
+    low = sentence.lower()
+    if (_MAYBE_ASCII if low.isascii() else _MAYBE).search(low):
+        low = _DROP.sub(" ", low)
+    return " " + " ".join(low.split()) + " "
 
 
 def weight(coded: str) -> int:
@@ -162,7 +171,17 @@ def segments(trees: ContextTrees, texts: list[str | None], chunk: int = 2_000_00
             size += len(texts[j] or "")
             j += 1
         spans = [sentences(t) if t else [] for t in texts[i:j]]
-        coded = [[plain(t[a:b]) for a, b in sp] for t, sp in zip(texts[i:j], spans)]
+        seen: dict[str, str] = {}  # a sentence that occurs again is cleaned once
+        coded = []
+        for t, sp in zip(texts[i:j], spans):
+            cs = []
+            for a, b in sp:
+                raw = t[a:b]
+                c = seen.get(raw)
+                if c is None:
+                    c = seen[raw] = plain(raw)
+                cs.append(c)
+            coded.append(cs)
         place: dict[str, int] = {}
         for cs in coded:
             for c in cs:
@@ -193,10 +212,19 @@ def segments(trees: ContextTrees, texts: list[str | None], chunk: int = 2_000_00
 
 
 def labelled_sample(docs: DataFrame, per_label: int = TRAIN_DOCS) -> DataFrame:
-    """At most ``per_label`` distinct texts of each known language by label, those of least hash."""
+    """At most ``per_label`` distinct texts of each known language by label, those of least hash.
+
+    Copies count once. Texts of 20 characters or less, or of TRAIN_CHARS or more, are no examples. Where a label has more than
+    eight times as many texts, a second hash first keeps about four times as many of them, so that no label makes a large task.
+    """
     code = F.lower(F.regexp_extract("lang", r"^\s*([A-Za-z]+)", 1))
-    own = Window.partitionBy("code").orderBy("h", "text")
-    return docs.select(code.alias("code"), "text", F.xxhash64("text").alias("h")).filter(F.col("code").isin(*LANGS) & (F.length(F.trim("text")) > 20) & (F.length("text") < 5000)).withColumn("rn", F.row_number().over(own)).filter(F.col("rn") <= per_label).select("code", "text")
+    some = docs.select(code.alias("code"), "text").filter(F.col("code").isin(*LANGS) & (F.length(F.trim("text")) > 20) & (F.length("text") < TRAIN_CHARS))
+    keyed = some.withColumn("h", F.xxhash64("text"))
+    # where a label has very many texts, the hash alone rules most of them out before any is moved
+    many = keyed.groupBy("code").agg(F.approx_count_distinct("h").alias("n"))
+    bound = many.select("code", F.when(F.col("n") > 8 * per_label, F.lit(4.0 * per_label) / F.col("n")).otherwise(F.lit(1.0)).alias("share"))
+    near = keyed.join(F.broadcast(bound), "code").filter(F.pmod(F.xxhash64("h"), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("code", "h", "text").distinct()
+    return near.withColumn("rn", F.row_number().over(Window.partitionBy("code").orderBy("h", "text"))).filter(F.col("rn") <= per_label).select("code", "text")
 
 
 def _joint_bits(known: dict[str, list[str]], texts: list[str]) -> np.ndarray:
@@ -218,15 +246,20 @@ def _joint_bits(known: dict[str, list[str]], texts: list[str]) -> np.ndarray:
     return np.array([(np.log2(total)[:, None] - table[:, at(key(grams(t)))]).sum(axis=1) for t in texts]).reshape(-1, len(LANGS))
 
 
-def train(docs: DataFrame) -> ContextTrees:
-    """Trees from the labelled sample, whose labels may be wrong as long as most of each language's are right.
+def examples(docs: DataFrame) -> list[tuple[str, str]]:
+    """(label, text) of the labelled sample, in order."""
+    return sorted((r[0], r[1]) for r in labelled_sample(docs).collect())
+
+
+def grow(sample: list[tuple[str, str]]) -> ContextTrees:
+    """Trees from labelled texts, whose labels may be wrong as long as most of each language's are right.
 
     Every sentence of the sample first goes, twice, to the language in whose examples its trigrams have the largest share;
     the trees grow from those sentences. With no labelled text the trees are empty and every text gets the first language at
     a confidence of one over the number of languages.
     """
     known: dict[str, list[str]] = {}
-    for code, text in sorted((r[0], r[1]) for r in labelled_sample(docs).collect()):
+    for code, text in sample:
         s = (plain(text[a:b]) for a, b in sentences(text))
         known.setdefault(code, []).extend(x for x in s if weight(x) >= SENTENCE_LETTERS)
     whole = list(dict.fromkeys(x for v in known.values() for x in v))
@@ -238,6 +271,11 @@ def train(docs: DataFrame) -> ContextTrees:
     return ContextTrees({k: _bounded(v) for k, v in known.items()})
 
 
+def train(docs: DataFrame) -> ContextTrees:
+    """Trees from the labelled sample of ``docs``."""
+    return grow(examples(docs))
+
+
 def _bounded(texts: list[str]) -> list[str]:
     """Distinct texts up to the bound on bytes, taken evenly."""
     texts = list(dict.fromkeys(texts))

@@ -73,9 +73,10 @@ def test_held_out_accuracy(tables, scores):
 
 def test_found_and_rates(tables, scores, monkeypatch):
     docs, ratings, _ = tables
-    monkeypatch.setattr(abuse, "scored", lambda *_: scores)
     f = abuse.found(docs, ratings)
-    assert f.columns == ["doc_id", "category"] and {r[0] for r in f.select("category").distinct().collect()} <= set(abuse.CATEGORIES)
+    flags = {(r["doc_id"], c) for r in scores.collect() for c in abuse.CATEGORIES if r[c]}
+    assert f.columns == ["doc_id", "category"] and {tuple(r) for r in f.collect()} == flags
+    monkeypatch.setattr(abuse, "scored", lambda *_: scores)
     rates = abuse.source_rates(docs, ratings)
     assert {r["source"] for r in rates.collect()} == {"s0", "s1", "s2", None} and all(0 <= r["abusive_rate"] <= 1 for r in rates.collect())
 
@@ -86,6 +87,16 @@ def test_without_ratings(tables):
     assert abuse.found(docs.filter("false"), ratings.filter("false")).count() == 0
 
 
+def test_trained_once_and_kept(tables, tmp_path, monkeypatch):
+    docs, ratings, _ = tables
+    model = abuse.train(docs.sparkSession, docs, ratings)
+    monkeypatch.setattr(abuse, "_trained", lambda *_: pytest.fail("trained again"))
+    assert abuse.train(docs.sparkSession, docs, ratings) is model
+    model.save(str(tmp_path / "m"))
+    again = abuse.Model.load(str(tmp_path / "m"))
+    assert abuse.found(docs, None, again).count() == abuse.found(docs, None, model).count()
+
+
 def test_gradient_free_learning_on_one_word():
     r = abuse.Reader()
     texts = [("good day", 0), ("foul day", 1), ("good night", 0), ("foul night", 1)] * 20
