@@ -405,7 +405,8 @@ def found(docs: DataFrame, ratings: DataFrame, model: Model | None = None) -> Da
             for i, s in zip(open_, segs):
                 cut[i] = m.limits.get(main_language(m.trees, s), m.limits[""])
             doc, of = np.nonzero(worded[:, None] & (z >= cut))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[doc], "category": [CATEGORIES[c] for c in of]})
+            if len(doc):
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[doc], "category": [CATEGORIES[c] for c in of]})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, category string")
 

@@ -2,8 +2,8 @@
 
 Parsed forms are counted into a gazetteer: towns of a country, postal codes of towns, streets of towns. Rare spellings that lie
 one slip from a much more frequent one are clustered with it by joins on keys with one letter left out: towns within a country,
-rare ones also with each other where they share their postal codes, and streets by the counts of a country unless house
-numbers of its own in a town speak for the spelling. Every form is then resolved by a beam search: hypotheses on the town, then on the
+rare ones also with each other where they share their postal codes, and streets within a town, where the country bears the town's counts out and no house numbers of
+its own in the town speak for the spelling. Every form is then resolved by a beam search: hypotheses on the town, then on the
 street in each of them, are scored against the gazetteer and only the best few go on. Records with the same street identifier,
 number and unit are the same place.
 """
@@ -48,12 +48,12 @@ def one_slip(a: Column, b: Column) -> Column:
     return (F.levenshtein(a, b) <= 1) | ((F.length(a) == F.length(b)) & (F.levenshtein(a, b) == 2) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))))
 
 
-def spelling_clusters(words: DataFrame, within: list[str], word: str, count: str = "n", least: int = 4) -> DataFrame:
-    """within..., word, head, head_n: rows for spellings that are a slip of a more frequent one, one row for each such head."""
+def spelling_clusters(words: DataFrame, within: list[str], word: str, count: str = "n", least: int = 4, ratio: float = RATIO) -> DataFrame:
+    """within..., word, head, head_n: rows for spellings that are a slip of one more frequent by ``ratio``, one row for each such head."""
     w = words.filter(F.length(word) >= least).select(*within, F.col(word).alias("w"), F.col(count).alias("n"))
     keyed = w.withColumn("slip", F.explode(slips(F.col("w"))))
-    heads = keyed.filter(F.col("n") >= RATIO).select(*within, "slip", F.col("w").alias("head"), F.col("n").alias("head_n"))
-    pairs = keyed.join(heads, [*within, "slip"]).filter((F.col("w") != F.col("head")) & (F.col("head_n") >= RATIO * F.col("n")) & one_slip(F.col("w"), F.col("head")))
+    heads = keyed.filter(F.col("n") >= ratio).select(*within, "slip", F.col("w").alias("head"), F.col("n").alias("head_n"))
+    pairs = keyed.join(heads, [*within, "slip"]).filter((F.col("w") != F.col("head")) & ((F.col("head_n") > F.col("n")) | F.lit(ratio == 0)) & (F.col("head_n") >= ratio * F.col("n")) & one_slip(F.col("w"), F.col("head")))
     return pairs.select(*within, F.col("w").alias(word), "head", "head_n").distinct()
 
 
@@ -124,21 +124,31 @@ def resolve(records: DataFrame) -> DataFrame:
     kind = F.when(F.col("home").isin("DE", "AT", "CH") & (F.col("kind") == "street"), F.lit("strasse")).otherwise(F.col("kind"))
     streets = checkpoint(forms.join(top, "form").withColumn("kind", kind).groupBy("home", "town", "street", "kind", "direction").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("town_score") >= 2, F.col("n")).otherwise(0)).alias("n")))
     names = streets.groupBy("home", "street").agg(F.sum("all").alias("n"))
-    # a spelling may be a slip if it is one of a name much more frequent in the country; within the town the head is looked up
-    name_heads = checkpoint(spelling_clusters(names, ["home"], "street"))
+    # a town's spellings: one is clustered with another of the same town that more of its records have, if the country knows the
+    # other far better too. In a town that hasn't the frequent name a rare one is a street of its own
+    asked = towns_tried.join(forms.select("form", "street", "n"), "form").join(top.select("form", "home", "town", F.lit(1).alias("is_top")), ["form", "home", "town"], "left")
+    in_town = asked.groupBy("home", "town", "street").agg(F.sum(F.when(F.col("is_top") == 1, F.col("n")).otherwise(0)).alias("n"))
+    near = spelling_clusters(in_town, ["home", "town"], "street", ratio=1).select("home", "town", "street", "head")
+    support = lambda c, n: names.select("home", F.col("street").alias(c), F.col("n").alias(n))
+    # or as many of its records, if the other stands at the very number and postal code and the spelling nowhere else in the country
+    doors = forms.filter("postal != ''").join(top, "form").groupBy("home", "town", "number", "postal", "street").agg(F.sum("n").alias("n"))
+    once = names.join(doors.select("home", "town", "number", "postal", "street", F.col("n").alias("here")), ["home", "street"]).filter("n = here").select("home", "town", "street")
+    twin = spelling_clusters(doors, ["home", "town", "number", "postal"], "street", ratio=0).select("home", "town", "street", "head").join(once, ["home", "town", "street"], "left_semi")
+    near = near.unionByName(twin).join(support("street", "own_n"), ["home", "street"]).join(support("head", "head_n"), ["home", "head"])
+    name_heads = checkpoint(near.filter(F.col("head_n") >= RATIO * F.col("own_n")).select("home", "town", "street", "head").distinct())
     # but where records of a town carry it at two or more numbers that none of its heads has there, the name stands as well: a slip
     # is made in records of a place, whose other records mostly have its right name
     numbers = checkpoint(forms.join(top.filter("town_score >= 2"), "form").select("home", "town", "street", "number").distinct())
     theirs = numbers.withColumnRenamed("street", "head").withColumn("had", F.lit(1))
-    stands = numbers.join(name_heads.select("home", "street", "head"), ["home", "street"]).join(theirs, ["home", "town", "head", "number"], "left")
+    stands = numbers.join(name_heads, ["home", "town", "street"]).join(theirs, ["home", "town", "head", "number"], "left")
     stands = stands.groupBy("home", "town", "street", "number").agg(F.max("had").alias("had")).filter("had is null").groupBy("home", "town", "street").agg(F.count("*").alias("own")).filter("own > 1").drop("own")
-    true = names.join(name_heads.select("home", "street").distinct(), ["home", "street"], "left_anti").select("home", "street")
+    slipping = name_heads.select("home", "town", "street").distinct().join(stands, ["home", "town", "street"], "left_anti")
 
     # second step: the street in each town
     g = forms.select("form", "street", "kind", "direction", "number")
     tried = towns_tried.join(g, "form").withColumn("kind", kind)
-    exact = tried.join(true, ["home", "street"]).unionByName(tried.join(stands, ["home", "town", "street"])).withColumns({"name": F.col("street"), "slip_cost": F.lit(0.0)})
-    slipped = tried.join(name_heads, ["home", "street"]).withColumns({"name": F.col("head"), "slip_cost": F.lit(1.0)}).drop("head", "head_n")
+    exact = tried.join(slipping, ["home", "town", "street"], "left_anti").withColumns({"name": F.col("street"), "slip_cost": F.lit(0.0)})
+    slipped = tried.join(name_heads, ["home", "town", "street"]).withColumns({"name": F.col("head"), "slip_cost": F.lit(1.0)}).drop("head")
     hypotheses = exact.unionByName(slipped)
     known = streets.filter("n > 0").select("home", "town", F.col("street").alias("name"), "kind", "direction", F.col("n").alias("known"))
     scored = hypotheses.join(known, ["home", "town", "name", "kind", "direction"], "left")

@@ -1,5 +1,7 @@
 """Addresses: parsing of notations, slips of letters, gazetteer, pairs, edges."""
 
+import random
+
 import pytest
 
 from tamis.llm import addresses as A
@@ -82,3 +84,28 @@ def test_empty(spark):
 def test_parts(line, country, want):
     p = parse(line, None, "X", None, None, country)
     assert (p.street, p.kind, p.direction, p.number) == want
+
+
+def test_rare_streets_beside_frequent_ones_stand(spark):
+    # a street that is frequent in the country one letter from a rare one, each once in a town, at one number
+    rows = [(i, f"Hallerstrasse {i}", None, "Neustadt", None, None, "DE") for i in range(1, 25)]
+    rows += [(101, "Hillerstrasse 90", None, "Kassel", None, None, "DE"), (102, "Hallerstrasse 90", None, "Kassel", None, None, "DE"), (103, "Hillerstr. 90", None, "Kassel", None, None, "Germany")]
+    df = spark.createDataFrame(rows, "store_id bigint, address1 string, address2 string, city string, region string, postal_code string, country string")
+    assert {tuple(r) for r in A.same_place(df).collect()} == {(101, 103)}
+
+
+def test_precision_holds_as_data_grow(spark):
+    # towns that have two true streets one letter apart, in ever more of them: none of them may join, however frequent the one is
+    r = random.Random(2)
+    for towns in (4, 80):
+        rows, n = [], 0
+        for t in range(towns):
+            town = "".join(r.choice("bdfgklmnprst") + r.choice("aeiou") for _ in range(6)).title()
+            for street, numbers in (("Miller Road", range(1, 9)), ("Tiller Road", (11, 13) if t % 2 else (5,))):
+                for no in numbers:
+                    n += 1
+                    rows.append((n, f"{no} {street}", None, town, "OR", f"{97000 + t}", "US"))
+        df = spark.createDataFrame(rows, "store_id bigint, address1 string, address2 string, city string, region string, postal_code string, country string")
+        got = A.same_place(df).count()
+        # of a lone number that both streets have, a slip can't be told from a street; that is one pair in every other town at most
+        assert got <= towns // 2, (towns, got)
