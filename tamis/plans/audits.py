@@ -102,4 +102,5 @@ SQL = {
         l2 as (select distinct b.dst as node from l1 join b on b.src = l1.node where b.dst not in (select node from l0) and b.dst not in (select node from l1))
         select * from (select 0 as depth, count(*) as nodes from l0 union all select 1, count(*) from l1 union all select 2, count(*) from l2) where nodes > 0""",
     "g07_integrity": "select 'duplicate_key' as check, count(*) as broken from (select id from products where id is not null group by id having count(*) > 1) union all select 'orphan', count(*) from product_variants where product_id is not null and product_id not in (select id from products where id is not null)",
+    "a19_multiset_fingerprint": "with r as (select sha256(cast(to_json([source, platform, country, currency, export_note]) as varchar)) as h from feeds) select count(*) as rows, sha256(concat_ws(',', " + ", ".join(f"sum(cast('0x' || substring(h, {1 + 8 * i}, 8) as bigint))::varchar" for i in range(8)) + ")) as fingerprint from r",
 }

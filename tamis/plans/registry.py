@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tamis.plans import audits, joining, merging, quantities, scalars, selection, urls
+from tamis.plans import audits, catalogue, joining, merging, quantities, scalars, selection, urls
 
-_MODULES = (quantities, urls, selection, joining, merging, audits, scalars)
+_MODULES = (quantities, urls, selection, joining, merging, audits, scalars, catalogue)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL: dict[str, str] = {k: v for m in _MODULES for k, v in getattr(m, "SQL", {}).items()}

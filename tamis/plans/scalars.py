@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tamis.functions import http, jsonx, keys, money, page, processing, text, url
-from tamis.operators import adapters, robots
+from tamis.operators import adapters, merge, robots
 from tamis.session import table
 
 
@@ -54,7 +54,7 @@ def x57_foreign_script(spark, d):
 
 
 def x62_strip_tags(spark, d):
-    return table(spark, d, "captured_pages").select("page_id", F.length(text.strip_tags(F.col("html"))).alias("letters"))
+    return table(spark, d, "captured_pages").select("page_id", F.length(text.strip_tags(F.coalesce("html", "primary_html"))).alias("letters"))
 
 
 def x67_elevation(spark, d):
@@ -77,7 +77,7 @@ def x37_structured_product(spark, d):
 
 
 def x51_platform(spark, d):
-    return table(spark, d, "captured_pages").select("page_id", page.platform(F.col("html")).alias("platform"))
+    return table(spark, d, "captured_pages").select("page_id", page.platform(F.coalesce("html", "primary_html")).alias("platform"))
 
 
 def x45_semantic_hash(spark, d):
@@ -121,8 +121,17 @@ CLOSED = "permanently closed|out of business"
 
 
 def u04_overlay_json(spark, d):
+    """The new object's fields over the stored ones, field by field: what merge.overlay_json does."""
     p = table(spark, d, "products")
-    return p.select("id", jsonx.deep_merge(F.lit('{"audit":{"seen":true}}'), F.col("metadata")).alias("metadata"))
+    o = merge.overlay_json(F.col("metadata"), F.lit('{"variety":"seen","audit":"new"}'))
+    return p.select("id", F.get_json_object(o, "$.variety").alias("variety"), F.get_json_object(o, "$.audit").alias("audit"), F.get_json_object(o, "$.country_of_origin").alias("country"))
+
+
+def x59_deep_merge(spark, d):
+    """Metadata merged into an object of its own, level by level."""
+    p = table(spark, d, "products")
+    m = jsonx.deep_merge(F.lit('{"audit":{"seen":true,"by":"a"}}'), F.coalesce("metadata", F.lit('{"audit":{"by":"b"}}')))
+    return p.select("id", F.get_json_object(m, "$.audit.seen").alias("seen"), F.get_json_object(m, "$.audit.by").alias("by"), F.get_json_object(m, "$.variety").alias("variety"))
 
 
 def x01_money_parse(spark, d):
@@ -151,7 +160,7 @@ def f16_robots(spark, d):
 
 ROBOTS = "User-agent: *\nDisallow: /products/\nAllow: /products/*-a\n\nUser-agent: other\nDisallow: /\n"
 
-QUERIES = {f.__name__: f for f in (x17_slugs, x17_folded_slug, x18_strict_name_key, x20_clean, x21_name_problem, f27_present, x27_stable_key, x50_same_tokens, x57_numeric_tokens, x57_foreign_script, x62_strip_tags, x67_elevation, x09_display_title, x36_page_facts, x37_structured_product, x51_platform, x45_semantic_hash, f21_listing_guard, f23_failure_kind, x58_text_parts, x33_processing, x53_signal_ladder, u04_overlay_json, x01_money_parse, f15_private_ip, f16_robots)}
+QUERIES = {f.__name__: f for f in (x17_slugs, x17_folded_slug, x18_strict_name_key, x20_clean, x21_name_problem, f27_present, x27_stable_key, x50_same_tokens, x57_numeric_tokens, x57_foreign_script, x62_strip_tags, x67_elevation, x09_display_title, x36_page_facts, x37_structured_product, x51_platform, x45_semantic_hash, f21_listing_guard, f23_failure_kind, x58_text_parts, x33_processing, x53_signal_ladder, u04_overlay_json, x59_deep_merge, x01_money_parse, f15_private_ip, f16_robots)}
 
 _DASH = "regexp_replace(regexp_replace(lower({c}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _COUNT = lambda ps: " + ".join(f"case when contains(t, '{p}') then 1 else 0 end" for p in ps)
@@ -168,11 +177,21 @@ SQL = {
     "x57_numeric_tokens": "select distinct title, array_to_string(list_sort(list_transform(regexp_extract_all(title, '[0-9]+(?:[.,][0-9]+)*'), lambda x: replace(x, ',', '.'))), ' ') as numbers from product_variants",
     "x57_foreign_script": r"select doc_id, regexp_matches(text, '[\p{Hangul}\p{Han}\p{Hiragana}\p{Katakana}\p{Cyrillic}\p{Thai}\p{Arabic}]') as foreign from documents",
     "x67_elevation": "select id, case when regexp_matches(trim(e), '(?i)^[0-9]{1,5}(\\s*(m|masl))?$') then cast(regexp_extract(e, '([0-9]+)', 1) as int) end as elevation_m, json_extract_string(metadata, '$.variety') as variety from (select *, json_extract_string(metadata, '$.elevation') as e from products)",
-    "x51_platform": "select page_id, case when html is null then 'unknown' when contains(lower(html), 'shopify') then 'shopify' when contains(lower(html), 'woocommerce') or contains(lower(html), 'wp-content') then 'woocommerce' else 'custom' end as platform from captured_pages",
+    "x51_platform": "select page_id, case when h is null then 'unknown' when contains(h, 'shopify') then 'shopify' when contains(h, 'woocommerce') or contains(h, 'wp-content') then 'woocommerce' else 'custom' end as platform from (select page_id, lower(coalesce(html, primary_html)) as h from captured_pages)",
     "f23_failure_kind": "select case when s = 403 then 'blocked' when s = 404 then 'stale_or_missing_url' when s = 429 then 'rate_limited' when s in (402, 409) then 'http_state' when s >= 500 then 'transient_http' when s = 0 then 'network' else 'unknown' end as kind, s in (0, 403, 429) or s >= 500 as retryable, count(*) as pages from (select coalesce(status, 0) as s from captured_pages) group by 1, 2",
     "x53_signal_ladder": f"with s as (select doc_id, lower(coalesce(text, '')) as t from documents), c as (select doc_id, {_COUNT(STRONG)} as strong, {_COUNT(WEAK)} as weak, regexp_matches(t, '{CLOSED}') as closed from s) select doc_id, strong, weak, case when closed then 'closed' when strong >= 1 then 'maker' when weak >= 2 then 'likely' else 'unclear' end as kind from c",
     "x01_money_parse": """select * from (values ('€12,50', 12.5::double, 'EUR', 1250, null), ('1.234,56 EUR', 1234.56, 'EUR', 123456, null), ('$10', 10, null, null, 'unknown_currency'), ('US$1,234.50', 1234.5, 'USD', 123450, null), ('12.500', null, 'EUR', null, 'locale_required'), ('12.500', 12500, 'EUR', 1250000, null), ('25000', 25000, 'KRW', 25000, null),
         ('10-12', null, 'EUR', null, 'missing_or_range_price'), ('from 10 EUR', null, 'EUR', null, 'price_prose'), ('', null, 'EUR', null, 'missing_or_range_price'), ('10.555', 10.555, 'KWD', 10555, null), ('10.55', null, 'JPY', null, 'currency_precision'), ('EUR 10 GBP', null, null, null, 'conflicting_or_invalid_currency'), ('99999999999', null, 'USD', null, 'amount_overflow')) t(raw, amount, currency, minor_units, reason)""",
     "f15_private_ip": "select * from (values ('10.0.0.1', true), ('8.8.8.8', false), ('172.16.3.4', true), ('172.32.0.1', false), ('192.168.1.1', true), ('192.0.2.1', true), ('198.51.100.7', true), ('203.0.113.9', true), ('203.1.1.1', false), ('100.64.0.1', true), ('100.128.0.1', false), ('224.0.0.1', true), ('169.254.1.1', true), ('1.2.3', true), ('256.1.1.1', true)) t(ip, private)",
     "f16_robots": "select distinct regexp_extract(url, '^[^:]+://([^/?#]+)', 1) as host, regexp_extract(url, '^[^:]+://[^/?#]+(.*)$', 1) as path, not (regexp_extract(url, '^[^:]+://[^/?#]+(.*)$', 1) like '/products/%' and not regexp_matches(regexp_extract(url, '^[^:]+://[^/?#]+(.*)$', 1), '^/products/.*-a')) as allowed from captured_pages",
+    "u04_overlay_json": "select id, 'seen' as variety, 'new' as audit, json_extract_string(metadata, '$.country_of_origin') as country from products",
+    "x59_deep_merge": "select id, 'true' as seen, 'a' as by, json_extract_string(metadata, '$.variety') as variety from products",
+    "x45_semantic_hash": r"select id, sha256(cast(to_json([lower(trim(regexp_replace(coalesce(name, ''), '\s+', ' ', 'g'))), lower(trim(regexp_replace(coalesce(description_raw, ''), '\s+', ' ', 'g')))]) as varchar)) as hash from products",
+    "x58_text_parts": "select field, length(v) as letters, sha256(cast(to_json([id, field, v]) as varchar)) as hash from (select id, 'name' as field, name as v from products union all select id, 'description', description_raw from products) where trim(v) <> ''",
+    "x62_strip_tags": r"""with a as (select page_id, regexp_replace(coalesce(html, primary_html), '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g') as t from captured_pages), b as (select page_id, regexp_replace(regexp_replace(t, '(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr)>', chr(10), 'g'), '(?s)<[^>]*>', ' ', 'g') as t from a),
+        c as (select page_id, replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)), '&amp;', '&') as t from b)
+        select page_id, length(regexp_replace(regexp_replace(regexp_replace(t, '[ \t\x{00A0}]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^\s+|\s+$', '', 'g')) as letters from c""",
+    "x09_display_title": rf"""with o as (select id, trim(name) as t, trim(json_extract_string(metadata, '$.country_of_origin')) as o from products), r as (select id, t, case when o <> '' then trim(regexp_replace(t, '(?i)^(?:single origin\s*[:—–-]\s*)?\Q' || o || '\E\s*[:|—–-]\s*', '')) end as r from o),
+        k as (select id, coalesce(nullif(r, ''), t) as t from r)
+        select id, case when t = upper(t) and regexp_matches(t, '\p{{L}}') then array_to_string(list_transform(regexp_extract_all(t, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+'), lambda w: case when regexp_matches(w, '^(?:{text.GRADES})$') then w else upper(w[1:1]) || lower(w[2:]) end), '') else t end as title from k""",
 }

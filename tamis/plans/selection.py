@@ -46,10 +46,11 @@ def w04_slug_suffix(spark, d):
 
 
 def w05_positions(spark, d):
-    v = table(spark, d, "product_variants").select("product_id", "id").distinct()
-    h = F.pmod(F.crc32("id"), F.lit(2))
-    old = v.filter(h == 0).groupBy("product_id").agg(F.count("*").alias("n")).select("product_id", (F.col("n") - 1).alias("position"))
-    return select.next_positions(old, v.filter(h == 1), ["product_id"], "position", "id").select("product_id", "id", "position")
+    """Positions of variants that came in late, after those that were there."""
+    v = table(spark, d, "product_variants").groupBy("product_id", "id").agg(F.min("ingested_at").alias("since"))
+    cut = F.lit("2026-03-01 00:00:00").cast("timestamp")
+    old = v.filter(F.col("since") < cut).groupBy("product_id").agg(F.count("*").alias("n")).select("product_id", (F.col("n") - 1).alias("position"))
+    return select.next_positions(old, v.filter(F.col("since") >= cut), ["product_id"], "position", "id").select("product_id", "id", "position")
 
 
 def w08_backoff(spark, d):
@@ -81,4 +82,5 @@ SQL = {
     "w08_backoff": "with a as (select distinct l_linenumber as attempt from lineitem) select attempt, cast(least(4000, 250 * pow(2, attempt - 1)) as bigint) as wait_ms, (select cast(sum(least(4000, 250 * pow(2, i - 1))) as bigint) from unnest(range(1, attempt + 1)) t(i)) as due_ms from a",
     "o01_rank_order": "select platform, count(*) as feeds, coalesce(nullif(list_position(['shopify', 'woocommerce', 'square', 'squarespace', 'native'], platform), 0), 6) as place from feeds group by platform",
     "o03_latest_pages": "select page_id, epoch_us(fetched_at) as fetched_us from captured_pages order by fetched_at desc, page_id desc limit 100",
+    "w05_positions": "with v as (select product_id, id, min(ingested_at) >= timestamptz '2026-03-01 00:00:00+00' as late from product_variants group by 1, 2), o as (select product_id, count(*) as n from v where not late group by 1) select product_id, id, coalesce(n, 0) - 1 + row_number() over (partition by product_id order by id) as position from v left join o using (product_id) where late",
 }

@@ -21,6 +21,7 @@ def build_session(app: str = "tamis", master: str | None = None, shuffle_partiti
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("TAMIS_DRIVER_MEMORY", "8g"),
@@ -53,11 +54,17 @@ def ship(spark: SparkSession) -> None:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder named by spark.checkpoint.dir.
 
-    Only where the cluster names none (tests, single machine) a local folder is set.
+    Only on a single machine (a local master, as in tests) a local folder is set where none is named; a cluster without one is
+    an error, for executors would write to disks of their own.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tamis-cp-"))
+        folder = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="tamis-cp-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 from tamis.operators.merge import merge
-from tamis.sources.files import append_journal, read_version, versions, write_version
+from tamis.sources.files import read_version, versions, write_version
 
 
 def guarded(stream: DataFrame, keys: list[str], arrival: str, time: str, compare: list[str]) -> DataFrame:
@@ -58,18 +58,31 @@ def first_of_key(stream: DataFrame, keys: list[str], sequence: str) -> DataFrame
     return stream.groupBy(*keys).applyInPandasWithState(run, stream.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
 
 
-def merge_batch(batch: DataFrame, table: str, outbox: str, keys: list[str], time: str, compare: list[str], fill: list[str] | None = None) -> None:
-    """Merge a batch into a versioned table and append what changed to its outbox; a repeated batch changes nothing."""
+def merge_batch(batch: DataFrame, table: str, outbox: str, keys: list[str], time: str, compare: list[str], fill: list[str] | None = None, batch_id: int | None = None) -> None:
+    """Merge a batch into a versioned table and put what changed into its outbox; a repeated batch changes nothing.
+
+    The events of a batch stand in a folder of their own under the outbox, named after the batch and written before the table's
+    version, which names the batch as well. A batch that failed between the two writes the same events into the same folder
+    again; one whose version stands is passed over. Without a ``batch_id`` the next number is taken, so that only a stream's own
+    ids protect from repetition. Merged rows are written once and read back for the events.
+    """
     spark = batch.sparkSession
-    stored = read_version(spark, table) if versions(spark, table) else spark.createDataFrame([], batch.schema)
-    new, events = merge(stored, batch, keys, time, compare, fill)
-    append_journal(events, outbox)
-    write_version(new, table)
+    done = versions(spark, table)
+    stored = read_version(spark, table) if done else None
+    last = int(stored.select(F.max("_batch")).first()[0] or 0) if done and "_batch" in stored.columns else -1
+    of = last + 1 if batch_id is None else batch_id
+    if done and of <= last:
+        return
+    plain = stored.drop("_batch") if done else spark.createDataFrame([], batch.schema)
+    new, events = merge(plain, batch, keys, time, compare, fill)
+    events.write.mode("overwrite").parquet(f"{outbox}/batch={of}")
+    # an empty table still has to say which batch it is at, so the number stands in every row of a version that has rows
+    write_version(new.withColumn("_batch", F.lit(of).cast("bigint")), table)
 
 
 def merge_stream(stream: DataFrame, table: str, outbox: str, checkpoint: str, keys: list[str], time: str, compare: list[str], fill: list[str] | None = None, once: bool = True):
     """The streaming query that merges every micro-batch; with ``once`` it ends when all that is there is merged."""
-    w = stream.writeStream.foreachBatch(lambda df, _: merge_batch(df, table, outbox, keys, time, compare, fill)).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(lambda df, i: merge_batch(df, table, outbox, keys, time, compare, fill, i)).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w).start()
 
 

@@ -10,7 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tamis.functions import http, jsonx, keys, money, page, processing, text, url
+from tamis.functions import http, jsonx, keys, money, page, processing, text, url, values
+from tamis.operators import availability
 
 
 def one(spark, make, *values):
@@ -124,12 +125,54 @@ def test_page(spark):
 
 
 def test_processing(spark):
-    t = ["A washed coffee from Kenya.", "This is not washed, but natural.", "Maybe anaerobic?", "Fully washed, never co-fermented.", "Co-fermented with mango.", "not only washed", "Unwashed socks", None, "Process:\nHoney"]
-    assert one(spark, processing.methods, *t) == [["washed"], ["natural"], [], ["washed"], ["coferment"], ["washed"], [], [], ["honey"]]
-    assert one(spark, processing.coferment, *t[:5]) == [None, None, None, False, True]
-    assert one(spark, processing.labelled, "x\nProcess - Washed\ny", "Process:\nHoney", "no label", None) == ["Washed", "Honey", None, None]
-    f = one(spark, lambda a, b, c: processing.facts(a, b, c), ("Kenya natural", "Washed", None), ("Kenya natural", None, "Process: Honey"), (None, None, None))
-    assert [x["process"] for x in f] == ["Washed", "Honey", None] and f[0]["methods"] == ["natural", "washed"]
+    t = ["Washed, then dried", "Not washed, but natural", "Maybe anaerobic?", "Without lactic fermentation, aerobic", "not only washed", "Neither, not washed or natural", None, "Anaeróbico natural", "honey rather than washed"]
+    assert one(spark, processing.methods, *t) == [["washed"], ["natural"], [], ["aerobic"], ["washed"], [], [], ["natural", "anaerobic"], ["honey"]]
+    assert one(spark, processing.coferment, "Fully washed, never co-fermented.", "Co‑fermented with mango.", "Can it be co-fermented?", "Unlike coferments, dry.", "Cofermented. This lot is not co-fermented.", None) == [False, True, None, None, None, None]
+    assert one(spark, processing.labelled, "x\nProcess - Washed\ny", "Process:\n\nHoney", "Processing\n: \nDry", "Process:\nOrigin: X", "Processing this lot takes days", None) == ["Washed", "Honey", "Dry", None, None, None]
+    f = one(
+        spark, lambda a, b, c: processing.facts(a, b, c), ("Kenya natural", "Washed", "Notes of honey and natural sweetness"), ("Kenya natural", None, "Process: Honey"), (None, None, None), ("Double Anaerobic Lot", None, None), ("Non-anaerobic Lot", None, None),
+        ("Lot 7", "unknown", "Co-fermented with mango and passion fruit.\nNotes: rose."), ("Natural High Espresso", None, None),
+    )
+    assert [x["process"] for x in f] == ["Washed", "Honey", None, "Anaerobic", None, None, None] and [x["methods"] for x in f] == [["washed"], ["honey"], [], ["anaerobic"], [], [], []]
+    assert [x["source"] for x in f] == ["attribute", "label", None, "title", None, None, None] and f[5]["ingredients"] == ["mango", "passion fruit"] and f[5]["claims"][0]["source"] == "description"
+    g = one(spark, lambda a, b, c: processing.facts(F.lit("Lot"), F.lit(None).cast("string"), a, F.split(b, ","), c, F.split(b, ",")), ("Not co-fermented.", "natural,washed", "yes"), (None, "honey", "No"), (None, None, "perhaps"))
+    assert [(x["is_coferment"], x["conflict"], x["process"]) for x in g] == [(None, True, "natural / washed"), (False, False, "honey"), (None, False, None)]
+
+
+def test_prices_in_hundredths(spark):
+    t = ["7,50€", "18,20€ TTC", "€9.00", "AUD 45.00", "2.350,00 Kč", "USD 3,450.00", "14 500,00 Kč", "CHF 2’250.50", "30000 CLP", "0", "21474836.47", "21474836.48", "10-12", "from $9.00", "3 bags $9.00", "$9 per 250g", "5% off", "2.345", "2,345", "1,2,3", "-3.00", "(3.00)", "3e2", "", None]
+    assert one(spark, values.price_cents, *t) == [750, 1820, 900, 4500, 235000, 345000, 1450000, 225050, 3000000, 0, 2147483647] + [None] * 14
+    assert one(spark, lambda c: values.amount_cents(c.cast("double")), "8.99", "-1", "NaN", "Infinity", None) == [899, None, None, None, None]
+
+
+def test_label_weights(spark):
+    t = ["200g", "2kg / Whole", "Moon (350g) / filter", "340gr", "2,5 kg", "12 oz", "1lb", "0.25 kilogram", "500 Gramm / fein", "원두200g", "2 x 200g", "200g / 1kg", "200–400g", "-200g", "200", None, "2.000g", "200g x 2", "3 bags of 200g", "200 Grammatik", "0 g", "2147483648 g"]
+    assert one(spark, values.weight_grams, *t) == [200, 2000, 350, 340, 2500, 340, 454, 250, 500, 200] + [None] * 12
+    t = ["250g - 12/10", "250gm", "2 kilos", "12 oz (340g)", "340 g / 12 oz", "8oz / 340g", "1kg (4 x 250g vac sealed pouches)", "1kg (3 x 250g vac sealed pouches)", None, ""]
+    assert one(spark, values.label_weight, *t) == [250, 250, 2000, 340, 340, None, 1000, None, None, None]
+
+
+def test_tasting_notes(spark):
+    n = one(spark, lambda c: values.tasting_notes(F.split(c, r"\|")), "Blueberries|hint of rose| Candied  plum|Chocolat noir", None)
+    assert [tuple(x)[1:] for x in n[0]] == [("blueberry", ["fruit", "berry"], "mapped"), (None, [], "uncertain"), (None, [], "unmapped"), ("dark chocolate", ["sweet", "chocolate"], "mapped")] and n[1] is None
+    assert one(spark, values.note_list, "a, b;c|d", None) == [["a", " b", "c", "d"], None]
+
+
+def test_availability(spark):
+    schema = "status int, heading string, url string, final string, native array<struct<id: bigint, title: string, available: boolean>>, offers array<struct<source_id: string, sku: string, name: string, availability: string, url: string>>, controls array<struct<text: string, disabled: boolean>>, tags array<string>"
+    u = "https://a.example/products/x"
+    rows = [
+        (404, None, u, u, [(1, "s", True)], None, None, None), (429, None, u, u, None, None, None, None), (200, "Page not found", u, u, None, None, None, None), (200, "X", u, "https://a.example/", None, None, None, None), (200, "X", u, u, [(1, "s", False), (2, "m", None)], None, None, None),
+        (200, "X", u, u, [(1, "s", False), (2, "m", True)], None, None, ["Pre-Order"]), (None, None, u, None, [(1, "s", False)], None, None, None), (200, "X", u, u, None, [(None, None, "s", "https://schema.org/OutOfStock", u + "?variant=7"), (None, "k", "o", "InStock", "/products/y")], None, None),
+        (200, "X", u, u, None, None, [("Add to cart", False)], None), (200, "X", u, u, None, None, [("Add to cart", True), ("Share", False)], None), (200, "X", u, u, [], None, [("Share", False)], None), (None, None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = df.select(availability.decision(F.col("status"), F.col("heading"), F.col("url"), F.col("final"), F.col("native"), F.col("offers"), F.col("controls"), availability.preorder(F.col("tags"))).alias("a")).collect()
+    assert [(r.a["state"], r.a["reason"]) for r in got] == [
+        ("removed", "product_http_removed"), ("unknown", "incomplete_fetch"), ("removed", "product_soft_404"), ("removed", "product_redirected_away"), ("unknown", "shop_exact_variants"), ("unknown", "primary_product_preorder"), ("sold_out", "shop_exact_variants"),
+        ("sold_out", "product_scoped_structured_data"), ("in_stock", "primary_product_controls"), ("unknown", "primary_product_controls"), ("unknown", "product_stock_evidence_missing"), ("unknown", "product_stock_evidence_missing"),
+    ]
+    assert [tuple(v) for v in got[7].a["variants"]] == [("7", "s", "sold_out")] and got[0].a["is_available"] is False and got[8].a["is_available"] and got[1].a["is_available"] is None
 
 
 @pytest.mark.parametrize("name", ["slug", "clean", "strict_name_key", "strip_tags", "name_problem"])

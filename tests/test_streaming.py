@@ -2,12 +2,13 @@
 
 import datetime
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from tamis.operators.merge import accepted_in_order, merge
-from tamis.sources.files import read_version
+from tamis.sources.files import read_version, versions
 from tamis.streaming import observations as O
 
 SCHEMA_COLUMNS = ("k", "n", "at", "state", "price")
@@ -76,6 +77,22 @@ def test_merge_stream(spark, feed):
     assert merge(again, again, ["k"], "at", ["state", "price"])[1].count() == 0
 
 
+def test_failed_batch_repeats_no_event(spark, tmp_path):
+    table, outbox = str(tmp_path / "t"), str(tmp_path / "o")
+    batch = lambda *rows: spark.createDataFrame(rows, "k string, at timestamp, state string")
+    day = lambda n: datetime.datetime(2026, 1, n)
+    O.merge_batch(batch(("a", day(1), "in")), table, outbox, ["k"], "at", ["state"], batch_id=0)
+    second = batch(("a", day(2), "out"), ("b", day(2), "in"))
+    O.merge_batch(second, table, outbox, ["k"], "at", ["state"], batch_id=1)
+    # the events of the second batch stand, its version was lost: it comes again, then once more after it was done
+    shutil.rmtree(f"{table}/v={versions(spark, table)[-1]}")
+    for _ in range(2):
+        O.merge_batch(second, table, outbox, ["k"], "at", ["state"], batch_id=1)
+    events = sorted((r["k"], r["change"], r["batch"]) for r in spark.read.parquet(outbox).collect())
+    assert events == [("a", "insert", 0), ("a", "update", 1), ("b", "insert", 1)]
+    assert sorted((r["k"], r["state"]) for r in read_version(spark, table).collect()) == [("a", "out"), ("b", "in")]
+
+
 def test_cache(spark):
     now = F.lit(datetime.datetime(2026, 1, 8, 0, 0))
     df = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), (None,)], "k string")
