@@ -283,14 +283,14 @@ class Model:
 _MODELS: dict[str, Model] = {}
 
 
-def train(spark: SparkSession, docs: DataFrame, ratings: DataFrame) -> Model:
-    """The model of the rated sample; a sample met before in this session isn't trained on again.
+def train(spark: SparkSession, docs: DataFrame, ratings: DataFrame, reuse: bool = True) -> Model:
+    """The model of the rated sample; with ``reuse`` a sample met before in this session isn't trained on again.
 
     A category that nobody has found in the sample is never flagged.
     """
     sample, examples = rated_sample(docs, ratings), language.examples(docs)
     seal = hashlib.sha256(repr((sample, examples)).encode("utf-8", "surrogatepass")).hexdigest()
-    if seal not in _MODELS:
+    if seal not in _MODELS or not reuse:
         while len(_MODELS) >= 2:
             _MODELS.pop(next(iter(_MODELS)))
         _MODELS[seal] = _trained(spark, sample, language.grow(examples))
@@ -388,10 +388,11 @@ def scored(docs: DataFrame, ratings: DataFrame, model: Model | None = None) -> D
 def found(docs: DataFrame, ratings: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, category: one row for each category flagged in a document; the flags of ``scored``.
 
-    Where a document lies below the thresholds of all languages, or above, its own language isn't asked.
+    Without a ``model`` one is trained, always anew, so that a run's figures hold the training; scores and rates of the same
+    session take it over. Where a document lies below the thresholds of all languages, or above, its own language isn't asked.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model or train(spark, docs, ratings))
+    shared = spark.sparkContext.broadcast(model or train(spark, docs, ratings, reuse=False))
 
     def run(batches):
         m = shared.value
