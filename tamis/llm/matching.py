@@ -246,10 +246,9 @@ def propagate(pairs: DataFrame) -> DataFrame:
         p1 = p1.withColumn("b1", 0.5 * F.col("b") + 0.5 * F.log((1 + TWICE * F.col("se")) / (1 + F.col("se"))))
         moved = F.greatest(F.abs(F.col("a1") - F.col("a")), F.abs(F.col("b1") - F.col("b")))
         p = p1.select("e", "d", "listed", "u", "rest", F.col("a1").alias("a"), F.col("b1").alias("b"), (moved < STILL).alias("settled"))
-        if n % 3 == 2:  # a few rounds a job
-            p = checkpoint(p)
-            if p.filter("not settled").isEmpty():
-                break
+        p = checkpoint(p)  # each round reads the one before four times
+        if n % 2 and p.filter("not settled").isEmpty():
+            break
     s = done.unionByName(p)
     # what a weak pair is left with by the others of its record and its entity
     at_d = s.groupBy("d").agg(F.sum(_odds(F.col("u") + F.col("b"))).alias("sd"))
