@@ -119,19 +119,19 @@ def resolve(records: DataFrame) -> DataFrame:
     towns_tried = checkpoint(_best(towns_tried, "form", "town_score", BEAM, "home", "town"))
 
     # the gazetteer's streets, counted where the town is beyond doubt
-    top = _best(towns_tried, "form", "town_score", 1, "home", "town")
+    top = checkpoint(_best(towns_tried, "form", "town_score", 1, "home", "town"))
     # short "str" means one kind in German towns and another elsewhere; the form alone may not tell
     kind = F.when(F.col("home").isin("DE", "AT", "CH") & (F.col("kind") == "street"), F.lit("strasse")).otherwise(F.col("kind"))
     streets = checkpoint(forms.join(top, "form").withColumn("kind", kind).groupBy("home", "town", "street", "kind", "direction").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("town_score") >= 2, F.col("n")).otherwise(0)).alias("n")))
-    names = streets.groupBy("home", "street").agg(F.sum("all").alias("n"))
+    names = checkpoint(streets.groupBy("home", "street").agg(F.sum("all").alias("n")))
     # a town's spellings: one is clustered with another of the same town that more of its records have, if the country knows the
     # other far better too. In a town that hasn't the frequent name a rare one is a street of its own
     asked = towns_tried.join(forms.select("form", "street", "n"), "form").join(top.select("form", "home", "town", F.lit(1).alias("is_top")), ["form", "home", "town"], "left")
-    in_town = asked.groupBy("home", "town", "street").agg(F.sum(F.when(F.col("is_top") == 1, F.col("n")).otherwise(0)).alias("n"))
+    in_town = checkpoint(asked.groupBy("home", "town", "street").agg(F.sum(F.when(F.col("is_top") == 1, F.col("n")).otherwise(0)).alias("n")))
     near = spelling_clusters(in_town, ["home", "town"], "street", ratio=1).select("home", "town", "street", "head")
     support = lambda c, n: names.select("home", F.col("street").alias(c), F.col("n").alias(n))
     # or as many of its records, if the other stands at the very number and postal code and the spelling nowhere else in the country
-    doors = forms.filter("postal != ''").join(top, "form").groupBy("home", "town", "number", "postal", "street").agg(F.sum("n").alias("n"))
+    doors = checkpoint(forms.filter("postal != ''").join(top, "form").groupBy("home", "town", "number", "postal", "street").agg(F.sum("n").alias("n")))
     once = names.join(doors.select("home", "town", "number", "postal", "street", F.col("n").alias("here")), ["home", "street"]).filter("n = here").select("home", "town", "street")
     twin = spelling_clusters(doors, ["home", "town", "number", "postal"], "street", ratio=0).select("home", "town", "street", "head").join(once, ["home", "town", "street"], "left_semi")
     near = near.unionByName(twin).join(support("street", "own_n"), ["home", "street"]).join(support("head", "head_n"), ["home", "head"])
